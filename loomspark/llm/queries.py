@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
+from .forms import consistent, quotes_seen_by_readers, vocabulary
 from .pieces import split_oversized
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,7 +23,23 @@ def p1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_oversized(table(spark, sf_dir, "documents"), table(spark, sf_dir, "candidates"))
 
 
-QUERIES: dict[str, Query] = {"p1_found": p1_found, "p1_pieces": p1_pieces}
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes_seen_by_readers(table(spark, sf_dir, "proposed_objects"), table(spark, sf_dir, "documents"))
+
+
+def p3_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text in consistent form, and whether that changed it."""
+    documents, objects = table(spark, sf_dir, "documents"), table(spark, sf_dir, "proposed_objects")
+    forms = consistent(documents.select("doc_id", "text"), ["text"], vocabulary(documents.select("text"), objects.select("quote")))
+    return forms.select("doc_id", (F.col("text") != F.col("text_form")).alias("changed"), "text_form")
+
+
+QUERIES: dict[str, Query] = {
+    "p1_found": p1_found,
+    "p1_pieces": p1_pieces,
+    "p3_found": p3_found,
+    "p3_forms": p3_forms,
+}
 
 SQL: dict[str, str] = {
     "p1_found": """
