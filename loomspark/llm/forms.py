@@ -209,4 +209,4 @@ def quotes_seen_by_readers(objects: DataFrame, documents: DataFrame) -> DataFram
         .select("id", "doc_id", "quote", "text")
     )
     forms = consistent(pairs, ["quote", "text"], vocabulary(documents.select("text"), objects.select("quote")))
-    return forms.filter(F.contains("text_form", "quote_form") & (F.col("quote_form") != "")).select("id", "doc_id").distinct()
+    return forms.filter(F.contains("text_form", "quote_form") & (F.trim("quote_form") != "")).select("id", "doc_id").distinct()

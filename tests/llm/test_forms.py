@@ -3,7 +3,7 @@ from loomspark.llm.forms import compose, consistent, odd_tokens, quotes_seen_by_
 
 def test_compose_keeps_what_readers_tell_apart():
     assert compose("Ａ​b­c d‑e") == "Abc d-e"
-    assert compose("é") == "é" and compose("ﬁle") == "file"
+    assert compose("e\u0301") == "\u00e9" and compose("ﬁle") == "file"
     for kept in ("10²", "1½", "①", "™", "résumé", "–", "…"):
         assert compose(kept) == kept
 
@@ -19,7 +19,7 @@ def test_repair_needs_vocabulary_and_one_script():
 def test_quotes_against_brute_force(spark):
     documents = spark.createDataFrame(
         [
-            (1, "d", "The reader weighs 10² rows of the café log.", "x"),
+            (1, "d", "The reader weighs 10² rows of the caf\u00e9 log.", "x"),
             (2, "d", "Тhe rеader weіghs 10² rows.", "x"),
             (3, "e", None, "x"),
             (4, "f", "Нет данных в журнале.", "x"),
@@ -33,7 +33,7 @@ def test_quotes_against_brute_force(spark):
             ("a", "d", "The rеader weіghs", 1),
             ("b", "d", "the reader weighs", 1),
             ("c", "d", "102 rows", 1),
-            ("d", "d", "of the café", 1),
+            ("d", "d", "of the cafe\u0301", 1),
             ("e", "e", "x", 1),
             ("f", "f", "Нeт данных", 1),
             ("g", "d", None, 1),
