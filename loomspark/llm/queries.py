@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import table
 from .forms import consistent, quotes_seen_by_readers, vocabulary
+from .overlaps import cross_split_overlaps, overlap_report
 from .pieces import split_oversized
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,11 +35,22 @@ def p3_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forms.select("doc_id", (F.col("text") != F.col("text_form")).alias("changed"), "text_form")
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = cross_split_overlaps(table(spark, sf_dir, "utterances"))
+    return pairs.select(F.least("id_eval", "id_train").alias("id_a"), F.greatest("id_eval", "id_train").alias("id_b")).distinct()
+
+
+def p4_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap_report(cross_split_overlaps(table(spark, sf_dir, "utterances")))
+
+
 QUERIES: dict[str, Query] = {
     "p1_found": p1_found,
     "p1_pieces": p1_pieces,
     "p3_found": p3_found,
     "p3_forms": p3_forms,
+    "p4_found": p4_found,
+    "p4_report": p4_report,
 }
 
 SQL: dict[str, str] = {
