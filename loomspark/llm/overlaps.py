@@ -122,8 +122,8 @@ def _grams(classes: DataFrame) -> DataFrame:
     identity in the hash, so that hits need equal numbers and names; n counts a class's distinct ones."""
     tokens = F.split("content", " ")
     pairs = F.when(
-        F.size(tokens) > 1,
-        F.transform(F.sequence(F.lit(0), F.size(tokens) - 2), lambda i: F.xxhash64("identity", F.get(tokens, i), F.get(tokens, i + 1))),
+        F.contains("content", F.lit(" ")),
+        F.zip_with(F.slice(tokens, 1, F.size(tokens) - 1), F.slice(tokens, 2, F.size(tokens) - 1), lambda a, b: F.xxhash64("identity", a, b)),
     ).otherwise(F.array(F.xxhash64("identity", "content")))
     grams = classes.select("class_id", F.array_distinct(pairs).alias("grams"))
     return grams.select("class_id", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
