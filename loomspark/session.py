@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,9 +37,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """The same rows behind a reliable checkpoint: lineage ends here and survives the loss of an executor."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The same rows, written to the shared checkpoint folder and read back: lineage ends here, later steps read only
+    the columns they need, and the loss of an executor costs nothing. `drop_cuts` removes a session's tables."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/cut-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_cuts(spark: SparkSession) -> None:
+    """Remove what `cut` wrote; results that still read it must have been stored before."""
+    folder = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if folder.isDefined():
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.get()}/cut-*")
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for found in files.globStatus(path) or []:
+            files.delete(found.getPath(), True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
