@@ -31,6 +31,8 @@ _WORDS = re.compile(r"[^\W_]+")
 _DIGITS = re.compile(r"\d+")
 
 MIN_CONTAINMENT = 0.2
+#: So many hit pairs (16 MB of keys) may be broadcast to thin out the records before their words are shuffled.
+BROADCAST_PAIRS = 1_000_000
 
 
 def words(said: str) -> list[str]:
@@ -54,7 +56,7 @@ def _close(a: str, b: str) -> bool:
     if len(a) > len(b):
         a, b = b, a
     most = 0 if len(a) < 3 else 1 if len(b) < 7 else 2
-    if len(b) - len(a) > most:
+    if len(b) - len(a) > most or len(set(b) - set(a)) > most:
         return False
     before, row = None, list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
@@ -70,23 +72,26 @@ def _close(a: str, b: str) -> bool:
     return row[-1] <= most
 
 
-def unexplained(a: list[str], b: list[str]) -> int:
-    """Content words of `a` without a counterpart in `b`."""
+def unexplained(a: list[str], b: list[str], most: int = 1_000_000) -> int:
+    """Content words of `a` without a counterpart in `b`; stops counting above `most`."""
     there = set(b)
     joined = "".join(b)
     count = 0
     for word in set(a) - there - SMALL:
-        if word.isdigit() or any(_close(word, other) for other in there) or (len(word) >= 4 and word in joined):
+        if word.isdigit() or (len(word) >= 4 and word in joined) or any(_close(word, other) for other in there):
             continue
         count += 1
+        if count > most:
+            break
     return count
 
 
 def same_saying(a: list[str], b: list[str]) -> bool:
     """Whether two lists of words of equal identity say the same in almost the same words: what is missing is on one side
     only (another word in its place is another saying) and is at most a word or a tenth of the longer list."""
-    left, right = unexplained(a, b), unexplained(b, a)
-    return min(left, right) == 0 and max(left, right) <= max(1, max(len(a), len(b)) // 10)
+    most = max(1, max(len(a), len(b)) // 10)
+    left = unexplained(a, b, most)
+    return left <= most and unexplained(b, a, 0 if left else most) <= (0 if left else most)
 
 
 def split_name(split: Column) -> Column:
@@ -117,7 +122,7 @@ def _prepared(utterances: DataFrame) -> DataFrame:
     return rows.withColumn("class_id", F.xxhash64("saying"))
 
 
-def _grams(classes: DataFrame) -> DataFrame:
+def _grams(rows: DataFrame) -> DataFrame:
     """class_id, gram, n: hashes of the bigrams of content words (of the only word, where there is but one), with the
     identity in the hash, so that hits need equal numbers and names; n counts a class's distinct ones."""
     tokens = F.split("content", " ")
@@ -125,6 +130,7 @@ def _grams(classes: DataFrame) -> DataFrame:
         F.contains("content", F.lit(" ")),
         F.zip_with(F.slice(tokens, 1, F.size(tokens) - 1), F.slice(tokens, 2, F.size(tokens) - 1), lambda a, b: F.xxhash64("identity", a, b)),
     ).otherwise(F.array(F.xxhash64("identity", "content")))
+    classes = rows.groupBy("class_id").agg(F.first("identity").alias("identity"), F.first("content").alias("content"))
     grams = classes.select("class_id", F.array_distinct(pairs).alias("grams"))
     return grams.select("class_id", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
 
@@ -138,26 +144,26 @@ def cross_split_overlaps(utterances: DataFrame, min_containment: float = MIN_CON
     each different text; source may be NULL; a record of unknown split takes no part; long texts are compared whole.
     """
     rows = cut(_prepared(utterances))
-    classes = rows.groupBy("class_id").agg(
-        F.first("identity").alias("identity"),
-        F.first("content").alias("content"),
-        F.bool_or(F.col("split") == "train").alias("in_train"),
-        F.bool_or(F.col("split") != "train").alias("in_eval"),
-    )
-    evaluation = _grams(classes.filter("in_eval")).withColumnRenamed("class_id", "e")
-    training = _grams(classes.filter("in_train")).select(F.col("class_id").alias("t"), "gram")
+    evaluation, training = rows.filter("split <> 'train'"), rows.filter("split = 'train'")
+    grams_e = _grams(evaluation).withColumnRenamed("class_id", "e")
+    grams_t = _grams(training).select(F.col("class_id").alias("t"), "gram")
     hits = (
-        evaluation.join(training, "gram")
+        grams_e.join(grams_t, "gram")
         .filter("e <> t")
         .groupBy("e", "t")
         .agg((F.count(F.lit(1)) / F.first("n")).alias("containment"))
         .filter(F.col("containment") >= min_containment)
     )
-    sayings = rows.groupBy("class_id").agg(F.first("saying").alias("saying"))
-    candidates = (
-        hits.join(sayings.select(F.col("class_id").alias("e"), F.col("saying").alias("said_e")), "e")
-        .join(sayings.select(F.col("class_id").alias("t"), F.col("saying").alias("said_t")), "t")
-    )
+    hits = cut(hits)
+    few = hits.count() <= BROADCAST_PAIRS
+
+    def sayings(side: DataFrame, key: str) -> DataFrame:
+        """What the classes that were hit say; where they are few, the others are left out before the shuffle."""
+        if few:
+            side = side.join(F.broadcast(hits.select(F.col(key).alias("class_id")).distinct()), "class_id", "left_semi")
+        return side.groupBy("class_id").agg(F.first("saying").alias(f"said_{key}")).withColumnRenamed("class_id", key)
+
+    candidates = hits.join(sayings(evaluation, "e"), "e").join(sayings(training, "t"), "t")
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -165,10 +171,13 @@ def cross_split_overlaps(utterances: DataFrame, min_containment: float = MIN_CON
             yield batch[same][["e", "t", "containment"]]
 
     near = candidates.select("e", "t", "containment", "said_e", "said_t").mapInPandas(verify, "e bigint, t bigint, containment double")
-    exact = classes.filter("in_train and in_eval").select(F.col("class_id").alias("e"), F.col("class_id").alias("t"), F.lit(1.0).alias("containment"))
+    exact = (
+        evaluation.select("class_id").distinct().join(training.select("class_id").distinct(), "class_id")
+        .select(F.col("class_id").alias("e"), F.col("class_id").alias("t"), F.lit(1.0).alias("containment"))
+    )
     links = near.unionByName(exact)
-    left = rows.filter("split <> 'train'").select(F.col("class_id").alias("e"), F.col("id").alias("id_eval"), "split", "source")
-    right = rows.filter("split = 'train'").select(F.col("class_id").alias("t"), F.col("id").alias("id_train"))
+    left = evaluation.select(F.col("class_id").alias("e"), F.col("id").alias("id_eval"), "split", "source")
+    right = training.select(F.col("class_id").alias("t"), F.col("id").alias("id_train"))
     return (
         links.join(left, "e").join(right, "t").filter("id_eval <> id_train").select("id_eval", "id_train", "split", "source", "containment").distinct()
     )
