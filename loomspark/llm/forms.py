@@ -36,8 +36,9 @@ _PLAIN = str.maketrans(
     | {c: "-" for c in _HYPHENS}
     | {chr(c): unicodedata.normalize("NFKC", chr(c)) for c in [*range(0xFF01, 0xFFA0), *range(0xFFE0, 0xFFEF), *range(0xFB00, 0xFB07)] if chr(c) not in _HYPHENS}
 )
+_UNSETTLED = re.compile("[" + "".join(map(re.escape, map(chr, _PLAIN))) + "]+")
 _LINE_END = re.compile(r"\r\n?|[\x85  ]")
-_FOREIGN = re.compile("[Ͱ-ϿЀ-ԯἀ-῿]")
+_FOREIGN = re.compile("[Ͱ-ϿЀ-ԯἀ-῿]+")
 _TOKEN = regex.compile(r"[\p{Latin}\p{Cyrillic}\p{Greek}](?:[\p{Latin}\p{Cyrillic}\p{Greek}]|\p{M})*")
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -46,12 +47,14 @@ def compose(text: str) -> str:
     """Width, blanks, hyphens, line ends, invisible characters and composition in one form."""
     if text.isascii():
         return text.replace("\r\n", "\n").replace("\r", "\n").replace("\t", " ") if "\r" in text or "\t" in text else text
-    return unicodedata.normalize("NFC", _LINE_END.sub("\n", text).translate(_PLAIN))
+    return unicodedata.normalize("NFC", _UNSETTLED.sub(lambda m: m.group().translate(_PLAIN), _LINE_END.sub("\n", text)))
 
 
 def skeleton(text: str) -> str:
     """Every look-alike as its Latin twin, without regard to context; for keys, not for reading."""
-    return text if text.isascii() else unicodedata.normalize("NFC", unicodedata.normalize("NFD", text).translate(_ALL_TO_LATIN))
+    if text.isascii() or not _FOREIGN.search(text):
+        return text
+    return unicodedata.normalize("NFC", _FOREIGN.sub(lambda m: m.group().translate(_ALL_TO_LATIN), unicodedata.normalize("NFD", text)))
 
 
 def _script(letter: str) -> str:

@@ -20,12 +20,14 @@ from .forms import compose, skeleton
 from .overlaps import _WORDS
 
 SHINGLE = 3
-SLOTS = 128
-MIN_SLOTS = 3
+SLOTS = 96
+MIN_SLOTS = 2
 ITEMS_PER_BLOCK = 20_000
 MIN_SHARE = 1 / 3
 #: Within a running passage, so many words may be other, missing or added between two matched shingles.
 GAP, DRIFT = 4, 2
+#: Of a passage's words so many must be found as they are; and of the smallest passage that counts.
+MIN_DENSITY, MIN_MATCHED = 0.8, 0.9
 
 _rng = np.random.default_rng(20_250)
 _FACTORS = (_rng.integers(1, 2**63, SLOTS, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -115,7 +117,7 @@ class Index:
             nth = np.arange(len(document)) - first[document]
             minima = block_minima(values, starts[document] + nth * half)
             pairs = np.nonzero(document[1:] == document[:-1])[0]
-            window, last = minima.copy(), np.ones(len(document), bool)
+            window = minima.copy()
             window[:, pairs] = np.minimum(minima[:, pairs], minima[:, pairs + 1])
             hits = []
             for k in range(SLOTS):
@@ -128,21 +130,27 @@ class Index:
             keys, counts = np.unique(np.concatenate(hits), return_counts=True)
             keys = keys[counts >= MIN_SLOTS]
             out.append(document[keys // n] * n + keys % n)
-            del last
         return np.unique(np.concatenate(out)) if out else np.empty(0, np.int64)
 
-    def passages(self, values: np.ndarray, wanted: np.ndarray) -> list[tuple[int, int, int]]:
-        """item, words of the longest running passage, matched words in it, for each wanted item of one document."""
+    def contained(self, values: np.ndarray, document: np.ndarray, pairs: np.ndarray) -> dict[int, tuple[list[int], list[int]]]:
+        """By candidate pair (document × items + item) the places of its matched shingles in text and item, for those
+        of which enough shingles occur; document: of each shingle in `values`."""
+        n = max(1, len(self.ids))
         low, high = np.searchsorted(self.hashes, values, "left"), np.searchsorted(self.hashes, values, "right")
         p = np.nonzero(high > low)[0]
         times = (high - low)[p]
         at = np.repeat(low[p], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-        position, owner, place = np.repeat(p, times), self.owner[at], self.place[at]
-        out = []
-        for item in wanted.tolist():
-            of = owner == item
-            out.append((item, *longest_chain(position[of].tolist(), place[of].tolist())))
-        return out
+        position = np.repeat(p, times)
+        key = document[position] * n + self.owner[at]
+        rank = np.minimum(np.searchsorted(pairs, key), max(0, len(pairs) - 1))
+        of = np.nonzero(pairs[rank] == key)[0] if len(pairs) else np.empty(0, np.int64)
+        position, place, rank = position[of], self.place[at][of], rank[of]
+        enough = np.bincount(rank, minlength=len(pairs)) >= np.maximum(1, (self.lengths[pairs % n] * MIN_SHARE * MIN_DENSITY / 2).astype(np.int64))
+        order = np.nonzero(enough[rank])[0]
+        order = order[np.argsort(rank[order], kind="stable")]
+        keys, cuts = np.unique(rank[order], return_index=True)
+        parts = zip(np.split(position[order], cuts[1:]), np.split(place[order], cuts[1:]))
+        return {int(pairs[k]): (x.tolist(), y.tolist()) for k, (x, y) in zip(keys, parts)}
 
 
 def longest_chain(position: list[int], place: list[int]) -> tuple[int, int]:
@@ -169,7 +177,7 @@ def longest_chain(position: list[int], place: list[int]) -> tuple[int, int]:
 def leaked_items(documents: DataFrame, items: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
     """doc_id, item_id, share, matched: documents that hold, as one running passage, at least `min_share` of the words of
     an item's instruction; share: of the item's words that the passage spans, matched: of those the ones found as they
-    are. At least half of a passage must be found as it is.
+    are. Of a passage MIN_DENSITY must be found as it is.
 
     The items are a stated query set: they are broadcast in blocks of ITEMS_PER_BLOCK, each against all documents.
     Defined cases: NULL ids, texts and instructions take no part; items and texts of fewer than three words hold nothing;
@@ -197,12 +205,13 @@ def leaked_items(documents: DataFrame, items: DataFrame, min_share: float = MIN_
                     ids, values = [ids[k] for k in keep], [values[k] for k in keep]
                     sizes = np.array([len(v) for v in values])
                     pairs = index.candidates(np.concatenate(values), np.cumsum(sizes) - sizes, sizes)
-                    document, cuts = np.unique(pairs // n, return_index=True)
-                    for d, wanted in zip(document.tolist(), np.split(pairs % n, cuts[1:])):
-                        for item, span, matched in index.passages(values[d], wanted):
-                            length = int(index.lengths[item])
-                            if span >= min_share * length and 2 * matched >= span:
-                                found.append((ids[d], index.ids[item], span / length, matched / length))
+                    document = np.repeat(np.arange(len(sizes)), sizes)
+                    for key, (position, place) in index.contained(np.concatenate(values), document, pairs).items():
+                        d, item = divmod(key, n)
+                        span, matched = longest_chain(position, place)
+                        length = int(index.lengths[item])
+                        if span >= min_share * length and matched >= MIN_DENSITY * span and matched >= MIN_MATCHED * min_share * length:
+                            found.append((ids[d], index.ids[item], span / length, matched / length))
                 yield pd.DataFrame(found, columns=["doc_id", "item_id", "share", "matched"])
 
         part = texts.mapInPandas(search, schema)

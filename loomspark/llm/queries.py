@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import table
 from .forms import consistent, quotes_seen_by_readers, vocabulary
+from .leaks import leaked_items
 from .overlaps import cross_split_overlaps, overlap_report
 from .pieces import split_oversized
 
@@ -44,6 +45,14 @@ def p4_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap_report(cross_split_overlaps(table(spark, sf_dir, "utterances")))
 
 
+def p6_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "exam_items"))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p6_leaks(spark, sf_dir).select("doc_id", "item_id")
+
+
 QUERIES: dict[str, Query] = {
     "p1_found": p1_found,
     "p1_pieces": p1_pieces,
@@ -51,6 +60,8 @@ QUERIES: dict[str, Query] = {
     "p3_forms": p3_forms,
     "p4_found": p4_found,
     "p4_report": p4_report,
+    "p6_found": p6_found,
+    "p6_leaks": p6_leaks,
 }
 
 SQL: dict[str, str] = {
