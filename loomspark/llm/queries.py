@@ -12,6 +12,7 @@ from .forms import consistent, quotes_seen_by_readers, vocabulary
 from .leaks import leaked_items
 from .overlaps import cross_split_overlaps, overlap_report
 from .pieces import split_oversized
+from .stuffing import stuffed_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,6 +54,14 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p6_leaks(spark, sf_dir).select("doc_id", "item_id")
 
 
+def p8_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stuffed_pages(table(spark, sf_dir, "documents"))
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p8_pages(spark, sf_dir).filter("stuffed").select("doc_id").distinct()
+
+
 QUERIES: dict[str, Query] = {
     "p1_found": p1_found,
     "p1_pieces": p1_pieces,
@@ -62,6 +71,8 @@ QUERIES: dict[str, Query] = {
     "p4_report": p4_report,
     "p6_found": p6_found,
     "p6_leaks": p6_leaks,
+    "p8_found": p8_found,
+    "p8_pages": p8_pages,
 }
 
 SQL: dict[str, str] = {
