@@ -12,6 +12,7 @@ from .forms import consistent, quotes_seen_by_readers, vocabulary
 from .leaks import leaked_items
 from .overlaps import cross_split_overlaps, overlap_report
 from .pieces import split_oversized
+from .replies import defective_replies
 from .stuffing import stuffed_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +47,10 @@ def p4_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap_report(cross_split_overlaps(table(spark, sf_dir, "utterances")))
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return defective_replies(table(spark, sf_dir, "outcomes"))
+
+
 def p6_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "exam_items"))
 
@@ -69,6 +74,7 @@ QUERIES: dict[str, Query] = {
     "p3_forms": p3_forms,
     "p4_found": p4_found,
     "p4_report": p4_report,
+    "p5_found": p5_found,
     "p6_found": p6_found,
     "p6_leaks": p6_leaks,
     "p8_found": p8_found,
