@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from ..session import table
 from .forms import consistent, quotes_seen_by_readers, vocabulary
+from .groups import grouped_splits
 from .leaks import leaked_items
+from .mixing import mix
 from .overlaps import cross_split_overlaps, overlap_report
 from .pieces import split_oversized
 from .replies import defective_replies
@@ -27,6 +29,14 @@ def p1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_oversized(table(spark, sf_dir, "documents"), table(spark, sf_dir, "candidates"))
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grouped_splits(table(spark, sf_dir, "utterances")).filter("parted and key is not null").select("key").distinct()
+
+
+def p2_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grouped_splits(table(spark, sf_dir, "utterances")).select("id", "new_split").distinct()
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes_seen_by_readers(table(spark, sf_dir, "proposed_objects"), table(spark, sf_dir, "documents"))
 
@@ -59,6 +69,14 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p6_leaks(spark, sf_dir).select("doc_id", "item_id")
 
 
+def p7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[0]
+
+
+def p7_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[1]
+
+
 def p8_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stuffed_pages(table(spark, sf_dir, "documents"))
 
@@ -70,6 +88,8 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "p1_found": p1_found,
     "p1_pieces": p1_pieces,
+    "p2_found": p2_found,
+    "p2_splits": p2_splits,
     "p3_found": p3_found,
     "p3_forms": p3_forms,
     "p4_found": p4_found,
@@ -77,6 +97,8 @@ QUERIES: dict[str, Query] = {
     "p5_found": p5_found,
     "p6_found": p6_found,
     "p6_leaks": p6_leaks,
+    "p7_mix": p7_mix,
+    "p7_report": p7_report,
     "p8_found": p8_found,
     "p8_pages": p8_pages,
 }
