@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-_MODULES: tuple = ()
+from . import curation_plans, graph_plans, time_plans, verdict_plans
+
+_MODULES = (verdict_plans, graph_plans, time_plans, curation_plans)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: run for module in _MODULES for name, run in module.QUERIES.items()}
+    return {name: run for module in _MODULES for name, run in module.P.queries.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for module in _MODULES for name, sql in module.SQL.items()}
+    return {name: sql for module in _MODULES for name, sql in module.P.sql.items()}
