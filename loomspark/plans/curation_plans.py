@@ -78,13 +78,13 @@ def split_holdout(spark: SparkSession, d: str) -> DataFrame:
 NORM = "lower(trim(regexp_replace({0}, '\\s+', ' ', 'g')))"
 
 
-@P.add(r"""WITH t AS (SELECT outcome_id, lower(trim(regexp_replace(CASE WHEN regexp_extract(taught_reply, '(?s)```[^\n]*\n(.*?)```', 1) <> '' THEN regexp_extract(taught_reply, '(?s)```[^\n]*\n(.*?)```', 1) ELSE taught_reply END, '\s+', ' ', 'g'))) AS x FROM outcomes WHERE taught_reply IS NOT NULL),
+@P.add(r"""WITH t AS (SELECT outcome_id, lower(trim(regexp_replace(CASE WHEN regexp_extract(ask, '(?s)```[^\n]*\n(.*?)```', 1) <> '' THEN regexp_extract(ask, '(?s)```[^\n]*\n(.*?)```', 1) ELSE ask END, '\s+', ' ', 'g'))) AS x FROM outcomes WHERE ask IS NOT NULL),
     f AS (SELECT x, min(outcome_id) AS first FROM t GROUP BY x) SELECT DISTINCT outcome_id, first FROM t JOIN f USING (x)""")
 def dedup_exact(spark: SparkSession, d: str) -> DataFrame:
-    return D.exact_repeats(table(spark, d, "outcomes").filter("taught_reply is not null"), "outcome_id", F.col("taught_reply"), ["outcome_id"]).distinct()
+    return D.exact_repeats(table(spark, d, "outcomes").filter("ask is not null"), "outcome_id", F.col("ask"), ["outcome_id"]).distinct()
 
 
-WORDS = "list_filter(regexp_split_to_array(lower({0}), '[^\\p{{L}}\\p{{N}}]+'), x -> x <> '')"
+WORDS = "list_filter(regexp_split_to_array(lower({0}), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '')"
 
 
 @P.add()
@@ -192,20 +192,20 @@ def sample_balanced(spark: SparkSession, d: str) -> DataFrame:
     return A.replay(table(spark, d, "customer"), "c_custkey", "c_mktsegment", "r4", 50).select("c_custkey")
 
 
-@P.add("WITH r AS (SELECT l_orderkey, l_linenumber, sum(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber ROWS UNBOUNDED PRECEDING) AS s FROM lineitem) SELECT l_orderkey, l_linenumber FROM r WHERE s <= 60")
+@P.add("WITH r AS (SELECT l_orderkey, l_linenumber, sum(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity ROWS UNBOUNDED PRECEDING) AS s FROM lineitem) SELECT l_orderkey, l_linenumber FROM r WHERE s <= 60")
 def sample_budget(spark: SparkSession, d: str) -> DataFrame:
-    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    return A.within_budget(li, ["l_orderkey"], ["l_linenumber"], "l_quantity", 60).select("l_orderkey", "l_linenumber")
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    return A.within_budget(li, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity"], "l_quantity", 60).select("l_orderkey", "l_linenumber")
 
 
 @P.add(r"""SELECT doc_id, len(regexp_extract_all(text, '-?\d[\d,.]*')) AS n_numbers, regexp_replace(regexp_replace(lower(coalesce(title, '')), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS slug,
-    len(list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), x -> x <> '')) AS n_words FROM documents""")
+    len(list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '')) AS n_words FROM documents""")
 def text_scalars(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", F.size(X.numbers(F.col("text"))).alias("n_numbers"), X.slug(F.coalesce("title", F.lit(""))).alias("slug"), F.size(X.tokens(F.col("text"))).alias("n_words"))
 
 
 @P.add("""WITH o AS (SELECT outcome_id, min(taught_reply) AS a, min(untaught_reply) AS b FROM outcomes WHERE taught_reply IS NOT NULL AND untaught_reply IS NOT NULL GROUP BY 1),
-    w AS (SELECT outcome_id, list_distinct(list_filter(regexp_split_to_array(lower(a), '[^\\p{L}\\p{N}]+'), x -> x <> '')) AS a, list_distinct(list_filter(regexp_split_to_array(lower(b), '[^\\p{L}\\p{N}]+'), x -> x <> '')) AS b FROM o)
+    w AS (SELECT outcome_id, list_distinct(list_filter(regexp_split_to_array(lower(a), '[^\\p{L}\\p{N}]+'), lambda x: x <> '')) AS a, list_distinct(list_filter(regexp_split_to_array(lower(b), '[^\\p{L}\\p{N}]+'), lambda x: x <> '')) AS b FROM o)
     SELECT outcome_id, round(CASE WHEN len(list_distinct(list_concat(a, b))) = 0 THEN 1 ELSE len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))) END, 6) AS jaccard FROM w""")
 def text_jaccard(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "outcomes").filter("taught_reply is not null and untaught_reply is not null").groupBy("outcome_id").agg(F.min("taught_reply").alias("a"), F.min("untaught_reply").alias("b"))
