@@ -79,8 +79,8 @@ def folds(members: DataFrame, group: str, stratum: str, k: int, seed: str) -> Da
             fold.append(at)
         return pdf.assign(fold=fold)[[group, "stratum", "size", "fold"]]
 
-    kind = members.schema[group].dataType.simpleString()
-    return groups.groupBy("stratum").applyInPandas(deal, f"`{group}` {kind}, stratum string, size bigint, fold int")
+    kind, stratum_kind = groups.schema[group].dataType.simpleString(), groups.schema["stratum"].dataType.simpleString()
+    return groups.groupBy("stratum").applyInPandas(deal, f"`{group}` {kind}, stratum {stratum_kind}, size bigint, fold int")
 
 
 def interleaved(groups: DataFrame, stratum: str, size: str, seed: str, key: str) -> DataFrame:
