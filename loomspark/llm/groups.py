@@ -8,21 +8,19 @@ proportions, and the best of several runs is kept.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.graph import components
 from ..session import cut
 from .overlaps import split_name
 
 SPLITS = ("train", "dev", "test")
 PROPORTIONS = (0.8, 0.1, 0.1)
-EDGES_PER_TASK = 2_000_000
 COMPONENTS_PER_BLOCK = 20_000
 HEAVY = 1 / 1000
 RUNS = 4
@@ -36,65 +34,6 @@ def entity(column: Column) -> Column:
     return F.when(name != "", name)
 
 
-def local_labels(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The nodes of some edges, each with the least node of its component among these edges."""
-    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
-    u, v = at[: len(a)], at[len(a) :]
-    label = np.arange(len(nodes))
-    while True:
-        low = np.minimum(label[u], label[v])
-        new = label.copy()
-        np.minimum.at(new, label[u], low)
-        np.minimum.at(new, label[v], low)
-        new = new[new]
-        while not np.array_equal(new, jumped := new[new]):
-            new = jumped
-        if np.array_equal(new, label):
-            return nodes, nodes[label]
-        label = new
-
-
-def components(edges: DataFrame, edges_per_task: int = EDGES_PER_TASK) -> DataFrame:
-    """node, component (its least node) for edges a, b of bigints.
-
-    Each task first contracts the edges it holds, so that a component becomes a star there; what joins the stars of
-    different tasks is found by alternating large-star and small-star steps, each behind a written table, until nothing
-    changes. No task ever holds more than about `edges_per_task` edges of the contraction, and a node with very many
-    neighbours is spread over all tasks there.
-    """
-    edges = cut(edges.select("a", "b").distinct())
-    parts = max(1, math.ceil(edges.count() / edges_per_task))
-
-    def contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
-        if held:
-            node, least = local_labels(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]))
-            for at in range(0, len(node), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(node[at : at + 100_000]), pa.array(least[at : at + 100_000])], names=["a", "b"])
-
-    spread = edges.repartition(parts) if parts > 1 else edges.coalesce(1)
-    stars = spread.mapInArrow(contract, "a bigint, b bigint")
-    if parts == 1:
-        return stars.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    stars = cut(stars.distinct())
-    mark = lambda df: tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-    before = mark(stars)
-    while True:
-        both = stars.filter("a <> b").unionByName(stars.filter("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = cut(large.unionByName(stars.filter("a = b")).distinct())
-        down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        least = down.groupBy("a").agg(F.min("b").alias("m"))
-        small = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
-        stars = cut(small.distinct())
-        now = mark(stars)
-        if now == before:
-            break
-        before = now
-    return stars.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "node")
-
-
 def energy(sizes: np.ndarray, labels: np.ndarray, want: np.ndarray, want_labels: np.ndarray) -> float:
     """Squared relative deviation of the splits' sizes, and with a tenth of the weight of their labels."""
     floor = max(1.0, want.sum() * 1e-9)
@@ -185,7 +124,7 @@ def assign(sizes: DataFrame, proportions: tuple[float, ...] = PROPORTIONS, seed:
     return heavy.select("component", "new_split").unionByName(light)
 
 
-def grouped_splits(utterances: DataFrame, proportions: tuple[float, ...] = PROPORTIONS, seed: int = 0, edges_per_task: int = EDGES_PER_TASK) -> DataFrame:
+def grouped_splits(utterances: DataFrame, proportions: tuple[float, ...] = PROPORTIONS, seed: int = 0, edges_per_task: int = 2_000_000) -> DataFrame:
     """id, key, split (as given, NULL if undecided), component, parted (whether the component's records lie in more than
     one given split), new_split.
 
