@@ -83,7 +83,8 @@ def to_markdown(page: str) -> str:
 def decode_page(raw: bytes) -> str:
     """Bytes by their declared charset, else UTF-8, else Windows-1252."""
     named = re.search(rb"charset=[\"']?([\w-]+)", raw[:2048], re.I)
-    for charset in [named.group(1).decode("ascii", "replace")] * bool(named) + ["utf-8", "cp1252"]:
+    declared = [named.group(1).decode("ascii", "replace")] if named else []
+    for charset in [*declared, "utf-8", "cp1252"]:
         try:
             return raw.decode(charset)
         except (LookupError, UnicodeDecodeError):

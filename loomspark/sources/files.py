@@ -16,16 +16,22 @@ MOST_BYTES = 1 << 20
 
 def read_jsonl(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """The rows, and the lines that are no JSON (a torn last line is reported, not fatal)."""
-    rows = spark.read.schema(T.StructType([*T._parse_datatype_string(schema).fields, T.StructField("_corrupt", T.StringType())])).json(path, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt")
-    return rows.filter("_corrupt is null").drop("_corrupt"), rows.filter("_corrupt is not null").select("_corrupt")
+    lines = _lines(spark, path, schema)
+    fields = [f.name for f in T._parse_datatype_string(schema).fields]
+    return lines.filter("r._corrupt is null").select(*[f"r.{c}" for c in fields]), lines.filter("r._corrupt is not null").select("r._corrupt")
+
+
+def _lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    whole = T.StructType([*T._parse_datatype_string(schema).fields, T.StructField("_corrupt", T.StringType())])
+    parsed = F.from_json("value", whole, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    return spark.read.text(path).filter("trim(value) <> ''").select(parsed.alias("r"), F.struct(F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("n")).alias("o"))
 
 
 def read_unique(spark: SparkSession, path: str, schema: str, key: str) -> DataFrame:
     """The first line of each key, in the order of files and lines."""
-    rows, _ = read_jsonl(spark, path, schema)
-    ordered = rows.withColumn("_o", F.struct(F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("n")))
-    rest = [c for c in rows.columns if c != key]
-    return ordered.groupBy(key).agg(F.min_by(F.struct(*rest), "_o").alias("_r")).select(key, "_r.*") if rest else rows.distinct()
+    fields = [f.name for f in T._parse_datatype_string(schema).fields]
+    good = _lines(spark, path, schema).filter("r._corrupt is null")
+    return good.groupBy(F.col(f"r.{key}").alias("_k")).agg(F.min_by("r", "o").alias("r")).select(*[f"r.{c}" for c in fields])
 
 
 def append_jsonl(rows: DataFrame, path: str) -> None:
