@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import curation_plans, graph_plans, measure_plans, relational_plans, selection_plans, stream_plans, time_plans, verdict_plans, view_plans
+from . import curation_plans, graph_plans, measure_plans, relation_plans, relational_plans, selection_plans, stream_plans, time_plans, verdict_plans, view_plans
 
-_MODULES = (view_plans, verdict_plans, graph_plans, time_plans, curation_plans, measure_plans, relational_plans, selection_plans, stream_plans)
+_MODULES = (view_plans, verdict_plans, graph_plans, time_plans, curation_plans, measure_plans, relational_plans, selection_plans, stream_plans, relation_plans)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -131,3 +131,39 @@ def test_survival_and_e_process(spark):
     b = spark.createDataFrame([("g", 1, 1.0), ("g", 2, 1.0)], "g string, i int, d double")
     last = measure.e_process(b, ["g"], ["i"]).orderBy(F.desc("i")).first().capital
     assert last == pytest.approx(sum((1 + e) ** 2 for e in (0.1, 0.25, 0.5, 0.75)) / 4) and not math.isnan(last)
+
+
+def test_quota_against_a_plain_walk(spark):
+    import random
+
+    from loomspark.operators import relations
+
+    rng = random.Random(6)
+    rows = [(k, rng.choice("abc"), rng.choice("xy"), rng.randint(0, 9)) for k in range(300)]
+    used, chosen = {}, []
+    limit = {"p": -(-30 // 3), "q": 15}
+    for k, p, q, o in sorted(rows, key=lambda r: (r[3], r[0])):
+        if len(chosen) < 30 and used.get(("p", p), 0) < limit["p"] and used.get(("q", q), 0) < limit["q"]:
+            chosen.append(k)
+            used["p", p], used["q", q] = used.get(("p", p), 0) + 1, used.get(("q", q), 0) + 1
+    table = spark.createDataFrame(rows, "k int, p string, q string, o int")
+    assert {r.k for r in relations.quota(table, ["p", "q"], ["o"], "k", 0.1, 30).collect()} == set(chosen)
+
+
+def test_first_difference_and_slices(spark):
+    from loomspark.operators import relations
+
+    t = spark.createDataFrame([(["a", "b"], ["a", "c"]), (["a"], ["a", "b"]), (["a"], ["a"]), ([], [])], "a array<string>, b array<string>")
+    assert [r.x for r in t.select(relations.first_difference(F.col("a"), F.col("b")).alias("x")).collect()] == [1, 1, None, None]
+    chunks = spark.createDataFrame([("s", 0, [0, 1, 2]), ("s", 3, [3, 4]), ("s", 5, [5])], "s string, first bigint, samples array<int>")
+    assert relations.sample_slice(chunks, ["s"], F.lit(2), F.lit(6)).first().samples == [2, 3, 4, 5]
+    keyed = relations.opaque(spark.createDataFrame([("a",), (None,)], "id string"), "id", "k").collect()
+    assert len(keyed[0].id) == 64 and keyed[1].id is None
+
+
+def test_contradictions(spark):
+    from loomspark.operators import selection
+
+    rows = [(1, "s", "What is the name?", "a"), (2, "s", "what is  the name?", "b"), (3, "s", "what is the name?", "A"), (4, "t", "What is the name?", "c"), (5, "s", "something else entirely", "d")]
+    out = selection.contradictions(spark.createDataFrame(rows, "k int, s string, q string, a string"), F.col("s"), F.col("q"), F.col("a"), "k").collect()
+    assert {(r.id_a, r.id_b) for r in out} == {(1, 2)}
