@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import draw
+from .ordered import running_total
 
 
 def goal_selection(sections: DataFrame, budget: float) -> DataFrame:
@@ -16,8 +17,7 @@ def goal_selection(sections: DataFrame, budget: float) -> DataFrame:
         F.when(F.coalesce("coverage", F.lit(0.0)) < 0.5, "irrelevant").when(F.coalesce("words", F.lit(0)) <= 0, "empty").when(F.col("ruling").isNotNull(), F.col("ruling")).when(F.col("novelty") < 0.25, "known")
     )
     judged = sections.withColumn("reason", reason).withColumn("gain", F.col("weighted") * F.col("novelty") / F.col("words"))
-    w = Window.orderBy(F.desc("gain"), "id").rowsBetween(Window.unboundedPreceding, 0)
-    open_ = judged.filter("reason is null").withColumn("_s", F.sum("words").over(w))
+    open_ = running_total(judged.filter("reason is null"), "gain", "id", "words", "_s")
     settled = open_.withColumn("reason", F.when(F.col("_s") <= budget, "chosen").otherwise("over_budget")).drop("_s")
     return judged.filter("reason is not null").unionByName(settled).select("id", "reason")
 
@@ -33,11 +33,9 @@ def relevance(terms: DataFrame, gaps: DataFrame, n: Column) -> DataFrame:
 def ledger(claims: DataFrame, key: str, order: list[str]) -> DataFrame:
     """State of each claim (key, statement, action assert or forget): the last decides; live once, reinforced if the same was
     asserted before, superseded counts what it replaced."""
-    w = Window.partitionBy(key).orderBy(*order)
     last = claims.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(*[F.desc(c) for c in order])))
     counts = claims.groupBy(key).agg(F.count_if(F.col("action") == "assert").alias("asserted"), F.count_distinct(F.when(F.col("action") == "assert", F.col("statement"))).alias("different"))
     state = F.when(F.col("action") == "forget", "forgotten").when(F.col("asserted") > F.col("different"), "reinforced").when(F.col("different") > 1, "superseding").otherwise("live")
-    del w
     return last.filter("_n = 1").join(counts, key).select(key, F.when(F.col("action") == "assert", F.col("statement")).alias("statement"), state.alias("state"))
 
 

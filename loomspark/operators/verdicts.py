@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordered import running_total
+
 
 def standing(evaluations: DataFrame, retractions: DataFrame, *, target: str | None = None, criterion: str | None = None, min_confidence: float | None = None, include_retracted: bool = False) -> DataFrame:
     """Evaluations that still stand: a retraction of (evaluator, version) withdraws them, whenever it was recorded."""
@@ -75,7 +77,7 @@ def priority_rank(items: DataFrame, factors: list[str], cost: str, key: str) ->
     for f in factors:
         product = product * F.col(f)
     scored = items.withColumn("score", F.when(F.col(cost) > 0, product / F.col(cost)))
-    return scored.withColumn("position", F.row_number().over(Window.orderBy(F.desc_nulls_last("score"), key)))
+    return running_total(scored, "score", key, None, "position")
 
 
 def feedback_weights(verified: DataFrame, *by: str) -> DataFrame:
