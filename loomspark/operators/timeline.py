@@ -68,11 +68,19 @@ def convert(at: Column, src_ref: Column, dst_ref: Column, slope: Column) -> Colu
     return dst_ref + (at - src_ref) + F.round((slope - 1) * (at - src_ref)).cast("long")
 
 
-def as_of(left: DataFrame, right: DataFrame, by: list[str], at: str, value: list[str]) -> DataFrame:
-    """Each left row with the latest right row of its group at or before it: one shuffle, no range join."""
+def as_of(left: DataFrame, right: DataFrame, by: list[str], at: str, value: list[str], width: int | None = None) -> DataFrame:
+    """Each left row with the latest right row of its group at or before it, without a range join. With a `width` (in units
+    of `at`) groups are worked on bucket by bucket of time, and what a bucket leaves is carried to the next ones, so that a
+    group that holds a third of all rows is spread over many tasks."""
     tagged = left.withColumn("_side", F.lit(1)).unionByName(right.select(*by, at, F.struct(*value).alias("_v")).withColumn("_side", F.lit(0)), allowMissingColumns=True)
-    w = Window.partitionBy(*by).orderBy(at, "_side").rowsBetween(Window.unboundedPreceding, 0)
+    tagged = tagged.withColumn("_b", F.floor(F.col(at) / width) if width else F.lit(0))
+    w = Window.partitionBy(*by, "_b").orderBy(at, "_side").rowsBetween(Window.unboundedPreceding, 0)
     filled = tagged.withColumn("_last", F.last("_v", ignorenulls=True).over(w)).filter("_side = 1")
+    if width:
+        ends = tagged.groupBy(*by, "_b").agg(F.max_by("_v", F.when(F.col("_side") == 0, F.col(at))).alias("_end"))
+        earlier = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        carried = ends.withColumn("_carry", F.last("_end", ignorenulls=True).over(earlier)).drop("_end")
+        filled = filled.join(carried, [*by, "_b"], "left").withColumn("_last", F.coalesce("_last", "_carry"))
     return filled.select(*left.columns, *[F.col(f"_last.{c}").alias(f"as_of_{c}") for c in value])
 
 

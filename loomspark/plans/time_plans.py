@@ -46,7 +46,7 @@ def window_followed_by(spark: SparkSession, d: str) -> DataFrame:
 def window_as_of(spark: SparkSession, d: str) -> DataFrame:
     e = events(spark, d)
     views = e.filter("event_type = 'view'").groupBy("user_id", "us").agg(F.max_by("value", "event_id").alias("value"))
-    return T.as_of(e.filter("event_type = 'error'").select("user_id", "event_id", "us"), views, ["user_id"], "us", ["value"]).select("event_id", "as_of_value")
+    return T.as_of(e.filter("event_type = 'error'").select("user_id", "event_id", "us"), views, ["user_id"], "us", ["value"], 24 * HOUR).select("event_id", "as_of_value")
 
 
 @P.add("""WITH e AS (SELECT user_id, event_id, event_type, value, epoch_us(ts) AS t FROM events), c AS (SELECT user_id, (min(t) + max(t)) // 2 AS cut FROM e GROUP BY 1)

@@ -167,3 +167,13 @@ def test_contradictions(spark):
     rows = [(1, "s", "What is the name?", "a"), (2, "s", "what is  the name?", "b"), (3, "s", "what is the name?", "A"), (4, "t", "What is the name?", "c"), (5, "s", "something else entirely", "d")]
     out = selection.contradictions(spark.createDataFrame(rows, "k int, s string, q string, a string"), F.col("s"), F.col("q"), F.col("a"), "k").collect()
     assert {(r.id_a, r.id_b) for r in out} == {(1, 2)}
+
+
+def test_as_of_is_the_same_in_buckets(spark):
+    import random
+
+    rng = random.Random(8)
+    left = spark.createDataFrame([(rng.choice("ab"), rng.randint(0, 99), k) for k in range(60)], "g string, t int, k int")
+    right = spark.createDataFrame([("a", t, t * 10) for t in range(5, 90, 17)] + [("b", 50, None)], "g string, t int, v int")
+    plain = {r.k: r.as_of_v for r in timeline.as_of(left, right, ["g"], "t", ["v"]).collect()}
+    assert plain == {r.k: r.as_of_v for r in timeline.as_of(left, right, ["g"], "t", ["v"], 7).collect()} and len(plain) == 60
