@@ -30,7 +30,8 @@ def similar_pairs(sets: DataFrame, key: str, least: float) -> DataFrame:
     sets = cut(sets)
     frequency = sets.groupBy("f").agg(F.count(F.lit(1)).alias("df"))
     w = Window.partitionBy(key).orderBy("df", "f")
-    prefix = sets.join(frequency.filter("df > 1"), "f").withColumn("r", F.row_number().over(w)).filter(F.col("r") <= F.col("n") - F.ceil(F.lit(least) * F.col("n")) + 1)
+    ordered = sets.join(frequency, "f").withColumn("r", F.row_number().over(w))
+    prefix = cut(ordered.filter((F.col("r") <= F.col("n") - F.ceil(F.lit(least) * F.col("n")) + 1) & (F.col("df") > 1)))
     a, b = prefix.select(F.col(key).alias("a"), "f", F.col("n").alias("na")), prefix.select(F.col(key).alias("b"), "f", F.col("n").alias("nb"))
     candidates = cut(a.join(b, "f").filter((F.col("a") < F.col("b")) & (F.least("na", "nb") >= F.lit(least) * F.greatest("na", "nb"))).select("a", "b", "na", "nb").distinct())
     fa, fb = sets.select(F.col(key).alias("a"), "f"), sets.select(F.col(key).alias("b"), "f")
