@@ -99,6 +99,15 @@ def e_process(bets: DataFrame, by: list[str], order: list[str], etas: tuple[floa
     return bets.withColumn("capital", total / len(etas))
 
 
+def e_process_log(bets: DataFrame, by: list[str], order: list[str], etas: tuple[float, ...] = (0.1, 0.25, 0.5, 0.75), null: float = 0.5) -> DataFrame:
+    """log_capital: the logarithm of the capital of `e_process`, which stays finite over any number of outcomes."""
+    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    y = (1 + F.col("d")) / 2
+    logs = bets.withColumn("_l", F.array(*[F.sum(F.log((1 - e) + e * y / null)).over(w) for e in etas]))
+    most = F.array_max("_l")
+    return logs.withColumn("log_capital", most + F.log(F.aggregate("_l", F.lit(0.0), lambda acc, x: acc + F.exp(x - most)) / len(etas))).drop("_l")
+
+
 def bootstrap_interval(families: DataFrame, by: str, seed: int = 0, resamples: int = 2000, level: float = 0.95) -> DataFrame:
     """by, low, high of the pooled sum / count when families (total, n) are resampled whole. Each family's multiplicity in
     each resample is a Poisson draw of its own hash, so families stay where they are and only one row of sums for each

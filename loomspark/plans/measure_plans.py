@@ -103,6 +103,15 @@ def e_process_capital(spark: SparkSession, d: str) -> DataFrame:
     return M.e_process(first, ["kind"], ["outcome_id"]).select("outcome_id", F.round("capital", 4).alias("capital"))
 
 
+@P.add(f"""WITH {ARMS}, b AS (SELECT kind, outcome_id, b::INT - a::INT AS d FROM arms WHERE a IS NOT NULL AND b IS NOT NULL), g AS (SELECT outcome_id, [sum(ln(0.9 + 0.1 * (1 + d))) OVER w, sum(ln(0.75 + 0.25 * (1 + d))) OVER w, sum(ln(0.5 + 0.5 * (1 + d))) OVER w, sum(ln(0.25 + 0.75 * (1 + d))) OVER w] AS l
+        FROM b WINDOW w AS (PARTITION BY kind ORDER BY outcome_id ROWS UNBOUNDED PRECEDING))
+    SELECT outcome_id, round(list_max(l) + ln(list_sum(list_transform(l, lambda x: exp(x - list_max(l)))) / 4), 4) AS log_capital FROM g""")
+def e_process_whole(spark: SparkSession, d: str) -> DataFrame:
+    """The logarithm of the capital after every outcome of each kind; e_process_capital ends at the twentieth."""
+    b = arms(spark, d).filter("a is not null and b is not null").withColumn("d", F.col("b").cast("int") - F.col("a").cast("int"))
+    return M.e_process_log(b, ["kind"], ["outcome_id"]).select("outcome_id", F.round("log_capital", 4).alias("log_capital"))
+
+
 @P.add()
 def bootstrap_by_kind(spark: SparkSession, d: str) -> DataFrame:
     f = arms(spark, d).filter("b is not null").groupBy("kind", "scenario_id").agg(F.sum(F.col("b").cast("double")).alias("total"), F.count(F.lit(1)).alias("n"))

@@ -1,6 +1,7 @@
 """Cases by hand for what SQL does not settle: empty inputs, ties, NULL, chains, cycles."""
 
 import math
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -133,6 +134,19 @@ def test_survival_and_e_process(spark):
     assert last == pytest.approx(sum((1 + e) ** 2 for e in (0.1, 0.25, 0.5, 0.75)) / 4) and not math.isnan(last)
 
 
+def test_e_process_runs_over_all_outcomes_in_logarithms(spark):
+    from loomspark.plans import registry
+
+    won = spark.createDataFrame([("g", i, 1) for i in range(2000)], "g string, i int, d int")
+    logs = [r.log_capital for r in measure.e_process_log(won, ["g"], ["i"]).orderBy("i").collect()]
+    assert len(logs) == 2000 and logs[0] == pytest.approx(math.log(1.4)) and logs[-1] == pytest.approx(2000 * math.log(1.75) - math.log(4))
+    folder = "/root/testdata/sf0.001"
+    if os.path.isdir(folder):
+        from loomspark.plans.measure_plans import arms
+
+        assert registry.queries()["e_process_whole"](spark, folder).count() == arms(spark, folder).filter("a is not null and b is not null").count() > 20 * 7
+
+
 def test_quota_against_a_plain_walk(spark):
     import random
 
