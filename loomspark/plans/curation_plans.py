@@ -136,6 +136,29 @@ def retrieve_bm25(spark: SparkSession, d: str) -> DataFrame:
     return R.bm25(index, index.select("id", "length").distinct(), "id", queries, 15).select("query", "id", F.round("score", 6).alias("score"), "rank")
 
 
+ALL_TF = "p AS (SELECT id, unnest(regexp_split_to_array(lower(said), '[^\\p{L}\\p{N}]+')) AS term FROM (SELECT id, min(said) AS said FROM utterances WHERE said IS NOT NULL GROUP BY id)), tf AS (SELECT id, term, count(*) AS tf FROM p WHERE term <> '' GROUP BY ALL), len AS (SELECT id, sum(tf) AS length FROM tf GROUP BY 1)"
+
+
+def all_sayings(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "utterances").filter("said is not null").groupBy("id").agg(F.min("said").alias("said"))
+
+
+@P.add(f"WITH {ALL_TF} SELECT id, sum(tf)::BIGINT AS score FROM tf WHERE term IN ('desk', 'kettle', 'badge') GROUP BY id ORDER BY score DESC, id LIMIT 20")
+def retrieve_terms_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Over utterances in any script; retrieve_terms leaves out those with a non-ASCII character."""
+    return R.term_counts(R.postings(all_sayings(spark, d), "id", F.col("said")), "id", ["kettle", "badge", "desk", "desk"], 20)
+
+
+@P.add(f"""WITH {ALL_TF}, q AS (SELECT * FROM (VALUES (1, 'museum'), (1, 'tour'), (2, 'kettle'), (2, 'badge'), (2, 'desk')) t(query, term)), n AS (SELECT count(*) AS n, avg(length) AS m FROM len), df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1),
+    s AS (SELECT query, tf.id, sum(ln((n - df + 0.5) / (df + 0.5) + 1) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * length / m))) AS score FROM tf JOIN q USING (term) JOIN df USING (term) JOIN len USING (id), n GROUP BY ALL),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY round(score, 9) DESC, id) AS rank FROM s) SELECT query, id, round(score, 6) AS score, rank FROM r WHERE rank <= 15""")
+def retrieve_bm25_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Over utterances in any script, as are the document frequencies and the mean length."""
+    index = R.postings(all_sayings(spark, d), "id", F.col("said"))
+    queries = spark.createDataFrame([(1, "museum"), (1, "tour"), (2, "kettle"), (2, "badge"), (2, "desk")], "query int, term string")
+    return R.bm25(index, index.select("id", "length").distinct(), "id", queries, 15).select("query", "id", F.round("score", 6).alias("score"), "rank")
+
+
 QUERY = "(SELECT embedding FROM embeddings WHERE vec_id = (SELECT min(vec_id) FROM embeddings))"
 
 

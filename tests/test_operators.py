@@ -191,3 +191,13 @@ def test_as_of_is_the_same_in_buckets(spark):
     right = spark.createDataFrame([("a", t, t * 10) for t in range(5, 90, 17)] + [("b", 50, None)], "g string, t int, v int")
     plain = {r.k: r.as_of_v for r in timeline.as_of(left, right, ["g"], "t", ["v"]).collect()}
     assert plain == {r.k: r.as_of_v for r in timeline.as_of(left, right, ["g"], "t", ["v"], 7).collect()} and len(plain) == 60
+
+
+def test_retrieval_finds_utterances_in_any_script(spark, tmp_path):
+    from loomspark.plans import registry
+
+    said = [(1, "My desk, please"), (2, "Ein Schlüssel für desk 4"), (3, "記録 museum"), (4, "müzede tour"), (5, None)]
+    spark.createDataFrame(said, "id bigint, said string").write.parquet(f"{tmp_path}/utterances.parquet")
+    run = lambda name: registry.queries()[name](spark, str(tmp_path)).collect()
+    assert {r.id: r.score for r in run("retrieve_terms_whole")} == {1: 1, 2: 1}
+    assert {(r.query, r.id) for r in run("retrieve_bm25_whole")} == {(1, 3), (1, 4), (2, 1), (2, 2)}
