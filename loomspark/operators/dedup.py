@@ -12,7 +12,12 @@ from .graph import connected
 
 def exact_repeats(rows: DataFrame, key: str, text: Column, order: list[str]) -> DataFrame:
     """key, first: the first row with the same identity text. Only hashes are shuffled, and copies are folded first."""
-    hashed = rows.select(key, *[c for c in order if c != key], F.sha2(X.identity_text(text), 256).alias("h"))
+    return firsts_of(rows, key, X.identity_text(text), order)
+
+
+def firsts_of(rows: DataFrame, key: str, same: Column, order: list[str]) -> DataFrame:
+    """key, first: the first row with the same value of `same`, by its hash."""
+    hashed = rows.select(key, *[c for c in order if c != key], F.sha2(same, 256).alias("h"))
     firsts = hashed.groupBy("h").agg(F.min_by(key, F.struct(*order)).alias("first"))
     return hashed.join(firsts, "h").select(key, "first")
 
@@ -41,9 +46,9 @@ def similar_pairs(sets: DataFrame, key: str, least: float) -> DataFrame:
 
 
 def near_duplicates(rows: DataFrame, key: str, text: Column, size: int = 5, least: float = 0.8) -> DataFrame:
-    """key, class_id, links: exact copies are one representative; representatives that are similar enough are linked, and
-    linked ones form a class. links counts the similar texts of a row's representative."""
-    copies = cut(exact_repeats(rows, key, text, [key]))
+    """key, class_id, links: copies of a whole text are one representative; representatives that are similar enough are
+    linked, and linked ones form a class. links counts the similar texts of a row's representative."""
+    copies = cut(firsts_of(rows, key, X.normalised(text), [key]))
     representatives = rows.join(copies.filter(F.col(key) == F.col("first")).select(key), key, "left_semi")
     pairs = cut(similar_pairs(features(representatives, key, text, size), key, least))
     both = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))

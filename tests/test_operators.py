@@ -201,3 +201,11 @@ def test_retrieval_finds_utterances_in_any_script(spark, tmp_path):
     run = lambda name: registry.queries()[name](spark, str(tmp_path)).collect()
     assert {r.id: r.score for r in run("retrieve_terms_whole")} == {1: 1, 2: 1}
     assert {(r.query, r.id) for r in run("retrieve_bm25_whole")} == {(1, 3), (1, 4), (2, 1), (2, 2)}
+
+
+def test_near_duplicates_with_one_code_block_stay_apart(spark):
+    block = "```python\nprint(1)\n```"
+    one, two = " ".join(f"a{k}" for k in range(40)), " ".join(f"b{k}" for k in range(40))
+    rows = [(1, f"{one} {block}"), (2, f"{two} {block}"), (3, f"{two} {block} end"), (4, f"{two}  {block.upper()}")]
+    out = {r.k: (r.class_id, r.links) for r in dedup.near_duplicates(spark.createDataFrame(rows, "k bigint, t string"), "k", F.col("t")).collect()}
+    assert out == {1: (1, 0), 2: (2, 1), 3: (2, 1), 4: (2, 1)}
