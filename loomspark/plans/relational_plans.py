@@ -53,6 +53,27 @@ for kind, words in {"inner": "JOIN", "left": "LEFT JOIN", "right": "RIGHT JOIN",
 P.add(f"WITH {SIDES} SELECT c_custkey FROM a WHERE c_custkey IN (SELECT o_custkey FROM b)")(joined("left_semi"))
 P.add(f"WITH {SIDES} SELECT c_custkey FROM a WHERE c_custkey NOT IN (SELECT o_custkey FROM b)")(joined("left_anti"))
 
+
+
+def joined_whole(kind: str) -> Callable[[SparkSession, str], DataFrame]:
+    """All customers and all orders; rel_join_* read a third of the one and half of the keys of the other."""
+
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        a = table(spark, d, "customer").select("c_custkey")
+        b = table(spark, d, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+        j = a.join(b, F.col("c_custkey") == F.col("o_custkey"), kind)
+        return j.select("c_custkey") if kind in ("left_semi", "left_anti") else j.select(F.coalesce("c_custkey", F.lit(-1)).alias("c_custkey"), F.coalesce("o_custkey", F.lit(-1)).alias("o_custkey"), F.coalesce("n", F.lit(0)).alias("n"))
+
+    run.__name__ = f"rel_join_{kind}_whole"
+    return run
+
+
+WHOLE_SIDES = "a AS (SELECT c_custkey FROM customer), b AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1)"
+for kind, words in {"inner": "JOIN", "left": "LEFT JOIN", "right": "RIGHT JOIN", "full": "FULL JOIN"}.items():
+    P.add(f"WITH {WHOLE_SIDES} SELECT coalesce(c_custkey, -1) AS c_custkey, coalesce(o_custkey, -1) AS o_custkey, coalesce(n, 0) AS n FROM a {words} b ON c_custkey = o_custkey")(joined_whole(kind))
+P.add(f"WITH {WHOLE_SIDES} SELECT c_custkey FROM a WHERE EXISTS (SELECT 1 FROM b WHERE o_custkey = c_custkey)")(joined_whole("left_semi"))
+P.add(f"WITH {WHOLE_SIDES} SELECT c_custkey FROM a WHERE NOT EXISTS (SELECT 1 FROM b WHERE o_custkey = c_custkey)")(joined_whole("left_anti"))
+
 SETS = {"union": "UNION", "union_all": "UNION ALL", "intersect": "INTERSECT", "except": "EXCEPT"}
 
 

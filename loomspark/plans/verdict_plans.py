@@ -79,6 +79,16 @@ def family_outcomes(spark: SparkSession, d: str) -> DataFrame:
     return v.withColumn("pass_rate", F.round("pass_rate", 6)).withColumn("reward_variance", F.round("reward_variance", 6))
 
 
+@P.add(f"""WITH {REWARDS}, {ATTEMPTS}, r AS (SELECT family, CASE WHEN w.attempt IS NOT NULL THEN w.reward WHEN outcome = 'pass' THEN 1.0 WHEN outcome = 'fail' THEN 0.0 END AS r
+        FROM attempts a LEFT JOIN rewards w ON a.attempt = w.attempt)
+    SELECT family, count(*) AS attempts, count(r) AS measured, round(avg(r), 6) AS pass_rate, round(var_pop(r), 6) AS reward_variance,
+           coalesce(bool_or(r >= 0.5), false) AND coalesce(bool_or(r < 0.5), false) AS mixed FROM r GROUP BY family""")
+def family_outcomes_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Every reward counts; attempts without any evaluation fall back to their recorded outcome."""
+    v = V.family_view(attempts(spark, d), rewards(spark, d))
+    return v.withColumn("pass_rate", F.round("pass_rate", 6)).withColumn("reward_variance", F.round("reward_variance", 6))
+
+
 @P.add("""WITH e AS (SELECT l_partkey AS skill, l_suppkey % 5 AS domain, l_returnflag <> 'R' AS supports FROM lineitem WHERE l_quantity > 25),
     dom AS (SELECT skill, domain, count(*) FILTER (supports) AS s, count(*) FILTER (NOT supports) AS c FROM e GROUP BY ALL),
     tot AS (SELECT skill, sum(s) AS s, sum(c) AS c, count(*) FILTER (s > c) AS d FROM dom GROUP BY skill),

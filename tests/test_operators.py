@@ -209,3 +209,24 @@ def test_near_duplicates_with_one_code_block_stay_apart(spark):
     rows = [(1, f"{one} {block}"), (2, f"{two} {block}"), (3, f"{two} {block} end"), (4, f"{two}  {block.upper()}")]
     out = {r.k: (r.class_id, r.links) for r in dedup.near_duplicates(spark.createDataFrame(rows, "k bigint, t string"), "k", F.col("t")).collect()}
     assert out == {1: (1, 0), 2: (2, 1), 3: (2, 1), 4: (2, 1)}
+
+
+def test_joins_and_families_take_whole_tables(spark, tmp_path):
+    from loomspark.plans import registry
+
+    spark.createDataFrame([(k,) for k in range(1, 8)], "c_custkey bigint").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(1, 1, "F", 1.0), (2, 1, "F", 1.0), (3, 2, "O", 1.0), (4, 3, "F", 1.0), (5, 9, "P", 1.0)], "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
+    run = lambda kind: sorted(map(tuple, registry.queries()[f"rel_join_{kind}_whole"](spark, str(tmp_path)).collect()))
+    both, left, right = [(1, 1, 2), (2, 2, 1), (3, 3, 1)], [(k, -1, 0) for k in range(4, 8)], [(-1, 9, 1)]
+    assert [run(k) for k in ("inner", "left", "right", "full")] == [both, both + left, right + both, right + both + left]
+    assert (run("left_semi"), run("left_anti")) == ([(1,), (2,), (3,)], [(4,), (5,), (6,), (7,)])
+    folder = "/root/testdata/sf0.001"
+    if os.path.isdir(folder):
+        from loomspark.plans.verdict_plans import attempts, rewards
+
+        wanted = {}
+        given = {r.attempt: r.reward for r in rewards(spark, folder).collect()}
+        for a in attempts(spark, folder).collect():
+            wanted.setdefault(a.family, []).append(given[a.attempt] if a.attempt in given else {"pass": 1.0, "fail": 0.0}.get(a.outcome))
+        found = {r.family: (r.attempts, r.measured) for r in registry.queries()["family_outcomes_whole"](spark, folder).collect()}
+        assert found == {k: (len(v), sum(x is not None for x in v)) for k, v in wanted.items()}
