@@ -79,6 +79,13 @@ def continual_matrix(spark: SparkSession, d: str) -> DataFrame:
     return M.continual(c).select(*[F.round(x, 6).alias(x) for x in ("acc", "bwt", "forgetting", "gain")])
 
 
+@P.add(P.sql["continual_matrix"].replace(" WHERE l_linenumber <= 6", ""))
+def continual_matrix_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Stages from all line numbers; continual_matrix ends at the sixth."""
+    c = table(spark, d, "lineitem").groupBy((F.col("l_suppkey") % 7).alias("unit"), (F.col("l_partkey") % 5 + 1).alias("task"), (F.col("l_linenumber") - 1).alias("stage")).agg(F.avg("l_discount").alias("score"))
+    return M.continual(c).select(*[F.round(x, 6).alias(x) for x in ("acc", "bwt", "forgetting", "gain")])
+
+
 @P.add("""WITH g AS (SELECT o_custkey, count(*) AS n, avg(o_totalprice) AS m, var_pop(o_totalprice) AS v FROM orders GROUP BY 1), s AS (SELECT count(*) AS k, sum(n) AS nn, sum(n*n) AS n2, sum(n*m) AS nm, sum(n*m*m) AS nm2, sum(n*v) AS w FROM g),
     q AS (SELECT (nm2 - nm*nm/nn)/(k-1) AS b, w/(nn-k) AS i, (nn - n2/nn)/(k-1) AS n0 FROM s) SELECT round(greatest(0, (b - i)/(b + (n0-1)*i)), 5) AS icc, round(n0, 4) AS mean_size FROM q""")
 def family_icc(spark: SparkSession, d: str) -> DataFrame:

@@ -20,6 +20,13 @@ def view_critic(spark: SparkSession, d: str) -> DataFrame:
     return R.critic(x.filter("id % 5 = 0").select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst")), x).select("critique", "critiqued", "exclusion")
 
 
+@P.add(P.sql["view_critic"].replace(" WHERE id % 5 = 0", ""))
+def view_critic_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Every id criticises the next; view_critic takes every fifth."""
+    x = experiences(spark, d)
+    return R.critic(x.select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst")), x).select("critique", "critiqued", "exclusion")
+
+
 @P.add("""WITH a AS (SELECT l_orderkey AS id, list(l_returnflag ORDER BY l_linenumber, l_partkey, l_returnflag) AS steps, max(l_linestatus) = 'F' AS passed FROM lineitem GROUP BY 1), r AS (SELECT o_orderkey AS src, o_orderkey + 1 AS dst FROM orders WHERE o_orderkey % 2 = 0),
     j AS (SELECT r.*, a.id AS ai, b.id AS bi, a.passed AS ap, b.passed AS bp, a.steps AS s, b.steps AS t, list_min(list_filter(range(0, greatest(len(a.steps), len(b.steps))), lambda i: a.steps[i + 1] IS DISTINCT FROM b.steps[i + 1])) AS first FROM r LEFT JOIN a ON a.id = src LEFT JOIN a b ON b.id = dst)
     SELECT src, dst, CASE WHEN ai IS NULL OR bi IS NULL THEN 'related_missing' WHEN coalesce(ap = bp, true) THEN 'no_preferred_path' WHEN NOT coalesce(j.first < len(s) AND j.first < len(t), false) THEN 'no_divergence' END AS exclusion FROM j""")
@@ -30,6 +37,15 @@ def view_decision(spark: SparkSession, d: str) -> DataFrame:
     return R.decisions(r, a).select("src", "dst", "exclusion")
 
 
+@P.add(P.sql["view_decision"].replace(" WHERE o_orderkey % 2 = 0", ""))
+def view_decision_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Every order and the next; view_decision takes even keys."""
+    steps = F.transform(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_returnflag"))), lambda x: x["l_returnflag"])
+    a = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(steps.alias("steps"), (F.max("l_linestatus") == "F").alias("passed"))
+    r = table(spark, d, "orders").select(F.col("o_orderkey").alias("src"), (F.col("o_orderkey") + 1).alias("dst"))
+    return R.decisions(r, a).select("src", "dst", "exclusion")
+
+
 @P.add("""WITH e AS (SELECT o_orderkey AS id, l_partkey AS blob FROM orders JOIN lineitem ON l_orderkey = o_orderkey), f AS (SELECT p_partkey AS blob, p_partkey - p_partkey % 50 AS family FROM part WHERE p_partkey % 7 <> 0)
     SELECT o_orderkey AS id, coalesce(min(coalesce(family, e.blob)), -1) AS family FROM orders LEFT JOIN e ON e.id = o_orderkey LEFT JOIN f ON f.blob = e.blob GROUP BY 1""")
 def record_families(spark: SparkSession, d: str) -> DataFrame:

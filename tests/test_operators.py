@@ -230,3 +230,21 @@ def test_joins_and_families_take_whole_tables(spark, tmp_path):
             wanted.setdefault(a.family, []).append(given[a.attempt] if a.attempt in given else {"pass": 1.0, "fail": 0.0}.get(a.outcome))
         found = {r.family: (r.attempts, r.measured) for r in registry.queries()["family_outcomes_whole"](spark, folder).collect()}
         assert found == {k: (len(v), sum(x is not None for x in v)) for k, v in wanted.items()}
+
+
+def test_relations_and_stages_are_of_all_rows(spark, tmp_path):
+    from loomspark.plans import registry
+
+    for name in ("view_critic", "view_decision", "continual_matrix"):
+        assert not [x for x in ("% 5 = 0", "% 2 = 0", "<= 6") if x in registry.oracle_sql()[f"{name}_whole"]]
+    spark.createDataFrame([(k,) for k in (1, 2, 3)], "o_orderkey bigint").write.parquet(f"{tmp_path}/orders.parquet")
+    lines = [(1, 1, 1, "N", "F", 1, 0.1), (2, 1, 1, "R", "O", 1, 0.2), (2, 7, 1, "N", "O", 1, 0.5)]
+    spark.createDataFrame(lines, "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_returnflag string, l_linestatus string, l_suppkey bigint, l_discount double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    run = lambda name: registry.queries()[name](spark, str(tmp_path)).collect()
+    assert {(r.src, r.dst, r.exclusion) for r in run("view_decision_whole")} == {(1, 2, None), (2, 3, "related_missing"), (3, 4, "related_missing")}
+    assert run("continual_matrix_whole")[0].acc == 0.5
+    folder = "/root/testdata/sf0.001"
+    if os.path.isdir(folder):
+        from loomspark.plans.view_plans import experiences
+
+        assert registry.queries()["view_critic_whole"](spark, folder).count() == experiences(spark, folder).count()
