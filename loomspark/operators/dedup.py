@@ -62,13 +62,16 @@ def near_duplicates(rows: DataFrame, key: str, text: Column, size: int = 5, leas
 
 def overlap_families(rows: DataFrame, key: str, text: Column, size: int = 8, most_holders: int = 6, least_shared: int = 8) -> DataFrame:
     """key, family: rows that share at least `least_shared` runs of `size` words, directly or through others. Runs held by
-    more than `most_holders` rows are boilerplate and bind nothing, which also bounds the join."""
-    runs = features(rows, key, text, size)
+    more than `most_holders` different texts are boilerplate and bind nothing, which also bounds the join; copies of a text
+    count once and share its family."""
+    copies = cut(firsts_of(rows, key, text, [key]))
+    runs = features(rows.join(copies.filter(F.col(key) == F.col("first")).select(key), key, "left_semi"), key, text, size)
     held = runs.groupBy("f").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n").between(2, most_holders)).select("f")
     kept = cut(runs.select(key, "f").join(held, "f"))
     a, b = kept.select(F.col(key).alias("a"), "f"), kept.select(F.col(key).alias("b"), "f")
     pairs = a.join(b, "f").filter("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") >= least_shared)
-    classes = connected(pairs.select("a", "b")).select(F.col("node").alias(key), "component")
+    same = copies.filter(F.col(key) != F.col("first")).select(F.col("first").alias("a"), F.col(key).alias("b"))
+    classes = connected(pairs.select("a", "b").unionByName(same)).select(F.col("node").alias(key), "component")
     return rows.select(key).distinct().join(classes, key, "left").select(key, F.coalesce("component", key).alias("family"))
 
 

@@ -248,3 +248,12 @@ def test_relations_and_stages_are_of_all_rows(spark, tmp_path):
         from loomspark.plans.view_plans import experiences
 
         assert registry.queries()["view_critic_whole"](spark, folder).count() == experiences(spark, folder).count()
+
+
+def test_many_copies_of_a_text_stay_one_family(spark):
+    text = [f"w{k}" for k in range(40)]
+    rows = [(k, " ".join(text)) for k in range(1, 10)] + [(10, " ".join(text[:30])), (11, "short text"), (12, "short text"), (13, "another one"), (14, None)]
+    out = {r.k: r.family for r in dedup.overlap_families(spark.createDataFrame(rows, "k bigint, t string"), "k", F.col("t")).collect()}
+    assert out == {k: 1 for k in range(1, 11)} | {11: 11, 12: 11, 13: 13, 14: 14}
+    parts = [(k, " ".join(text + [f"x{k}y{n}" for n in range(20)])) for k in range(7)]
+    assert len({r.family for r in dedup.overlap_families(spark.createDataFrame(parts, "k bigint, t string"), "k", F.col("t")).collect()}) == 7
