@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LIMIT, OVERLAP = 1500, 150
+#: Ranges of one document that are joined in one part.
+RANGES = 2000
 
 #: Boundary classes, best first: paragraph, line, sentence, word. A boundary lies after its blanks.
 _CLASSES = (
@@ -108,21 +110,26 @@ def greedy_cuts(texts: list[str], limit: int = LIMIT, overlap: int = OVERLAP) ->
 
 def sections(documents: DataFrame, candidates: DataFrame, over: int = 0) -> DataFrame:
     """doc_id, section, start, stop, text of each delivered section of more than `over` code points. A byte count bounds
-    the code points from above, so shorter ranges are left out before the join."""
+    the code points from above, so shorter ranges are left out before the join. A document of more than RANGES ranges is
+    joined in that many parts, so that no task holds all of them."""
     ranges = (
         candidates.select("doc_id", "section", F.col("range.start").alias("start"), F.col("range.stop").alias("stop"))
-        .filter((F.col("start") >= 0) & (F.col("stop") - F.col("start") > over))
-        .groupBy("doc_id")
-        .agg(F.collect_set(F.struct("section", "start", "stop")).alias("ranges"))
+        .filter(F.col("doc_id").isNotNull() & (F.col("start") >= 0) & (F.col("stop") - F.col("start") > over))
+        .distinct()
     )
+    hot = ranges.groupBy("doc_id").agg(F.ceil(F.count(F.lit(1)) / RANGES).cast("int").alias("parts")).filter(F.col("parts") > 1)
+    part = F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("section", "start", "stop"), F.col("parts"))).cast("int")
+    ranges = ranges.join(F.broadcast(hot), "doc_id", "left").withColumn("part", part).drop("parts")
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))
     raw = F.encode("text", "UTF-8")
     return (
         documents.select("doc_id", "text")
         .filter(F.col("doc_id").isNotNull() & (F.octet_length("text") > over))
-        .join(ranges, "doc_id")
+        .join(F.broadcast(hot), "doc_id", "left")
+        .select("doc_id", "text", copies.alias("part"))
+        .join(ranges, ["doc_id", "part"])
         .withColumn("raw", raw)
-        .select("doc_id", F.explode("ranges").alias("r"), "raw")
-        .select("doc_id", "r.section", "r.start", "r.stop", F.make_valid_utf8(F.expr("cast(substring(raw, cast(r.start + 1 as int), cast(least(r.stop - r.start, 2147483647) as int)) as string)")).alias("text"))
+        .select("doc_id", "section", "start", "stop", F.make_valid_utf8(F.expr("cast(substring(raw, cast(start + 1 as int), cast(least(stop - start, 2147483647) as int)) as string)")).alias("text"))
         .filter(F.char_length("text") > over)
     )
 

@@ -49,3 +49,25 @@ def test_nulls_repeats_clashing_columns_and_empty(spark):
     by = sorted((r.doc_id, r.piece, r.piece_start, r.piece_stop) for r in rows)
     assert by == [(1, 0, 0, 1500), (1, 1, 1350, 1600), (4, 0, 0, 1500), (4, 1, 1350, 1800)]
     assert split_oversized(documents.limit(0), candidates).count() == 0
+
+
+def test_a_document_of_many_ranges_is_spread(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from loomspark.llm import pieces
+
+    monkeypatch.setattr(pieces, "RANGES", 3, raising=False)
+    documents = spark.createDataFrame([(1, "word " * 900), (2, "other " * 900)], "doc_id bigint, text string")
+    wanted = {(1, k, k, 3000 + k) for k in range(60)} | {(2, 0, 0, 2000)}
+    candidates = spark.createDataFrame([(d, k, (a, b)) for d, k, a, b in wanted] * 2, "doc_id bigint, section int, range struct<start bigint, stop bigint>")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = pieces.sections(documents, candidates, 1500).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert sorted((r.doc_id, r.section, r.start, r.stop) for r in rows) == sorted(wanted)
+    assert all(r.text == {1: "word ", 2: "other "}[r.doc_id].__mul__(900)[r.start : r.stop] for r in rows)
+    assert len({r.task for r in rows if r.doc_id == 1}) > 1
