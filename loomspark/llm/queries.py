@@ -14,8 +14,9 @@ from .leaks import leaked_items
 from .mixing import mix
 from .overlaps import cross_split_overlaps, overlap_report
 from .pieces import split_oversized
-from .replies import defective_replies
+from .replies import Tongues, defective_replies, language_names
 from .stuffing import stuffed_pages
+from .tongues import fit_profiles
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,7 +59,9 @@ def p4_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return defective_replies(table(spark, sf_dir, "outcomes"))
+    outcomes, documents = table(spark, sf_dir, "outcomes"), table(spark, sf_dir, "documents")
+    profiles = fit_profiles(documents.select("text", "lang"), outcomes.select("ask", "taught_reply", "untaught_reply"))
+    return defective_replies(outcomes, Tongues(profiles, language_names(outcomes, profiles.codes)))
 
 
 def p6_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
