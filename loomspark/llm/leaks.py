@@ -1,8 +1,9 @@
 """Held-out evaluation texts inside a corpus.
 
 Items are partitioned by size. Each document is cut, once for every size class, into half-overlapping windows as long as
-the items of that class, so that windows and items are of comparable size; MinHash signatures of windows and items are
-compared slot by slot, and each candidate is verified by exact shingle containment along one running passage.
+the items of that class, so that windows and items are of comparable size. One-permutation MinHash signatures of windows
+and of the items' distinctive shingles are compared slot by slot; only the candidates found so are verified, by exact
+shingle containment along one running passage.
 """
 
 from __future__ import annotations
@@ -20,8 +21,12 @@ from .forms import compose, skeleton
 from .overlaps import _WORDS
 
 SHINGLE = 3
-SLOTS = 96
-MIN_SLOTS = 2
+SLOTS = 256
+#: A window and an item are candidates when their signatures agree in so many slots.
+MIN_SLOTS = 3
+#: A shingle is distinctive when at most this share of the items of a block (and always two) hold it; an item with fewer
+#: than MIN_DISTINCTIVE of them is known by all of its shingles.
+MOST_ITEMS, MIN_DISTINCTIVE = 0.02, 8
 ITEMS_PER_BLOCK = 20_000
 MIN_SHARE = 1 / 3
 #: Within a running passage, so many words may be other, missing or added between two matched shingles.
@@ -29,11 +34,6 @@ GAP, DRIFT = 4, 2
 #: Of a passage's words so many must be found as they are; and of the smallest passage that counts.
 MIN_DENSITY, MIN_MATCHED = 0.8, 0.9
 
-_rng = np.random.default_rng(20_250)
-_FACTORS = (_rng.integers(1, 2**63, SLOTS, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
-_SHIFTS = _rng.integers(0, 2**63, SLOTS, dtype=np.uint64)
-
-
 class Words:
     """64-bit numbers for words; remembers the frequent ones."""
 
@@ -62,12 +62,18 @@ def shingles(words: np.ndarray) -> np.ndarray:
     return out ^ (out >> np.uint64(32))
 
 
-def block_minima(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """SLOTS × blocks: the minimum of each permuted hash over the blocks that begin at `starts`."""
-    out = np.empty((SLOTS, len(starts)), np.uint64)
-    for k in range(SLOTS):
-        mixed = values * _FACTORS[k] + _SHIFTS[k]
-        out[k] = np.minimum.reduceat(mixed ^ (mixed >> np.uint64(31)), starts)
+_EMPTY = np.uint64(2**64 - 1)
+
+
+def block_minima(values: np.ndarray, block: np.ndarray, blocks: int) -> np.ndarray:
+    """blocks × SLOTS: one permutation hashes every shingle into one slot and to one rank; each block keeps the least rank
+    of each slot. block: of each shingle, ascending."""
+    mixed = (values ^ (values >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    mixed ^= mixed >> np.uint64(29)
+    slot = (mixed >> np.uint64(56)).astype(np.int64) % SLOTS
+    rank = mixed & np.uint64((1 << 56) - 1)
+    out = np.full((blocks, SLOTS), _EMPTY, np.uint64)
+    np.minimum.at(out.reshape(-1), block * SLOTS + slot, rank)
     return out
 
 
@@ -77,7 +83,7 @@ def size_class(n: int) -> int:
 
 
 class Index:
-    """The items of one block: signatures by size class for the search, shingles with their places for the check."""
+    """The items of one block: signatures by size class for the search, sorted shingles with their places for the check."""
 
     def __init__(self, items: list[tuple[int, str]]) -> None:
         words = Words()
@@ -88,69 +94,66 @@ class Index:
                 self.ids.append(item)
                 self.lengths.append(len(w))
                 sets.append(s)
-        self.lengths = np.array(self.lengths, np.int64)
-        self.classes: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        held, counts = np.unique(np.concatenate([np.unique(s) for s in sets]) if sets else np.empty(0, np.uint64), return_counts=True)
+        common = held[counts > max(2.0, MOST_ITEMS * len(sets))]
+        self.places: list[tuple[np.ndarray, np.ndarray]] = []
+        own = []
+        for s in sets:
+            order = np.argsort(s, kind="stable")
+            self.places.append((s[order], order))
+            rare = s[~np.isin(s, common)]
+            own.append(rare if len(rare) >= MIN_DISTINCTIVE else s)
+        #: By size class: sorted slot keys, the item of each, and a table that tells most absent keys at one look.
+        self.classes: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         by: dict[int, list[int]] = {}
         for k, s in enumerate(sets):
             by.setdefault(size_class(len(s)), []).append(k)
         for level, members in by.items():
-            starts = np.cumsum([0, *[len(sets[k]) for k in members[:-1]]])
-            self.classes[level] = np.array(members), block_minima(np.concatenate([sets[k] for k in members]), starts)
-        places = [(h, k, p) for k, s in enumerate(sets) for p, h in enumerate(s.tolist())]
-        self.hashes = np.array([p[0] for p in places], np.uint64)
-        order = np.argsort(self.hashes, kind="stable")
-        self.hashes = self.hashes[order]
-        self.owner = np.array([p[1] for p in places], np.int64)[order]
-        self.place = np.array([p[2] for p in places], np.int64)[order]
-        self.sorted = {level: [(np.argsort(sig[k], kind="stable"), np.sort(sig[k])) for k in range(SLOTS)] for level, (_, sig) in self.classes.items()}
-
-    def candidates(self, values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """document × items + item of each pair that shares MIN_SLOTS slots in one window. starts, sizes: of each
-        document's shingles in `values`."""
+            sizes = np.array([len(own[k]) for k in members])
+            minima = block_minima(np.concatenate([own[k] for k in members]), np.repeat(np.arange(len(members)), sizes), len(members))
+            at, slot = np.nonzero(minima != _EMPTY)
+            keys = (slot.astype(np.uint64) << np.uint64(56)) | minima[at, slot]
+            order = np.argsort(keys, kind="stable")
+            seen = np.zeros(1 << 20, bool)
+            seen[(keys & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
+            self.classes[level] = keys[order], np.array(members)[at[order]], seen
+
+    def candidates(self, values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """document × items + item of each pair that shares MIN_SLOTS slots in one window. sizes: of each document's
+        shingles in `values`."""
         n = max(1, len(self.ids))
         out = []
-        for level, (members, _) in self.classes.items():
+        starts = np.cumsum(sizes) - sizes
+        document_of = np.repeat(np.arange(len(sizes)), sizes)
+        within = np.arange(len(values)) - starts[document_of]
+        for level, (keys, items, seen) in self.classes.items():
             half = 1 << (level - 1)
             counts = -(-sizes // half)
-            document = np.repeat(np.arange(len(sizes)), counts)
             first = np.cumsum(counts) - counts
-            nth = np.arange(len(document)) - first[document]
-            minima = block_minima(values, starts[document] + nth * half)
+            document = np.repeat(np.arange(len(sizes)), counts)
+            minima = block_minima(values, first[document_of] + within // half, len(document))
             pairs = np.nonzero(document[1:] == document[:-1])[0]
             window = minima.copy()
-            window[:, pairs] = np.minimum(minima[:, pairs], minima[:, pairs + 1])
-            hits = []
-            for k in range(SLOTS):
-                order, keys = self.sorted[level][k]
-                low, high = np.searchsorted(keys, window[k], "left"), np.searchsorted(keys, window[k], "right")
-                w = np.nonzero(high > low)[0]
-                times = (high - low)[w]
-                at = np.repeat(low[w], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-                hits.append(np.repeat(w, times) * n + members[order[at]])
-            keys, counts = np.unique(np.concatenate(hits), return_counts=True)
-            keys = keys[counts >= MIN_SLOTS]
-            out.append(document[keys // n] * n + keys % n)
+            window[pairs] = np.minimum(minima[pairs], minima[pairs + 1])
+            at, slot = np.nonzero(seen[(window & np.uint64((1 << 20) - 1)).astype(np.int64)])
+            wanted = (slot.astype(np.uint64) << np.uint64(56)) | window[at, slot]
+            low, high = np.searchsorted(keys, wanted, "left"), np.searchsorted(keys, wanted, "right")
+            hit = np.nonzero((high > low) & (window[at, slot] != _EMPTY))[0]
+            times = (high - low)[hit]
+            places = np.repeat(low[hit], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            found, agreeing = np.unique(np.repeat(at[hit], times) * n + items[places], return_counts=True)
+            found = found[agreeing >= MIN_SLOTS]
+            out.append(document[found // n] * n + found % n)
         return np.unique(np.concatenate(out)) if out else np.empty(0, np.int64)
 
-    def contained(self, values: np.ndarray, document: np.ndarray, pairs: np.ndarray) -> dict[int, tuple[list[int], list[int]]]:
-        """By candidate pair (document × items + item) the places of its matched shingles in text and item, for those
-        of which enough shingles occur; document: of each shingle in `values`."""
-        n = max(1, len(self.ids))
-        low, high = np.searchsorted(self.hashes, values, "left"), np.searchsorted(self.hashes, values, "right")
+    def matched(self, values: np.ndarray, item: int) -> tuple[list[int], list[int]]:
+        """The places of the shingles of a document that an item holds, in the document and in the item."""
+        held, order = self.places[item]
+        low, high = np.searchsorted(held, values, "left"), np.searchsorted(held, values, "right")
         p = np.nonzero(high > low)[0]
         times = (high - low)[p]
         at = np.repeat(low[p], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-        position = np.repeat(p, times)
-        key = document[position] * n + self.owner[at]
-        rank = np.minimum(np.searchsorted(pairs, key), max(0, len(pairs) - 1))
-        of = np.nonzero(pairs[rank] == key)[0] if len(pairs) else np.empty(0, np.int64)
-        position, place, rank = position[of], self.place[at][of], rank[of]
-        enough = np.bincount(rank, minlength=len(pairs)) >= np.maximum(1, (self.lengths[pairs % n] * MIN_SHARE * MIN_DENSITY / 2).astype(np.int64))
-        order = np.nonzero(enough[rank])[0]
-        order = order[np.argsort(rank[order], kind="stable")]
-        keys, cuts = np.unique(rank[order], return_index=True)
-        parts = zip(np.split(position[order], cuts[1:]), np.split(place[order], cuts[1:]))
-        return {int(pairs[k]): (x.tolist(), y.tolist()) for k, (x, y) in zip(keys, parts)}
+        return np.repeat(p, times).tolist(), order[at].tolist()
 
 
 def longest_chain(position: list[int], place: list[int]) -> tuple[int, int]:
@@ -183,13 +186,15 @@ def leaked_items(documents: DataFrame, items: DataFrame, min_share: float = MIN_
     Defined cases: NULL ids, texts and instructions take no part; items and texts of fewer than three words hold nothing;
     repeated rows count once; a document is compared whole, whatever its length.
     """
-    stated = [tuple(r) for r in items.select("item_id", "instruction").filter("item_id is not null and instruction is not null").distinct().orderBy("item_id", "instruction").toLocalIterator()]
+    stated = items.select("item_id", "instruction").filter("item_id is not null and instruction is not null").distinct()
+    blocks = -(-stated.count() // ITEMS_PER_BLOCK)
     context = documents.sparkSession.sparkContext
     texts = documents.select("doc_id", "text").filter("doc_id is not null and text is not null")
     schema = "doc_id bigint, item_id bigint, share double, matched double"
-    result = None
-    for at in range(0, max(1, len(stated)), ITEMS_PER_BLOCK):
-        block = context.broadcast(Index(stated[at : at + ITEMS_PER_BLOCK]))
+    result = documents.sparkSession.createDataFrame([], schema)
+    for at in range(blocks):
+        part = stated.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == at) if blocks > 1 else stated
+        block = context.broadcast(Index(sorted(tuple(r) for r in part.collect())))
 
         def search(batches: Iterator[pd.DataFrame], block=block) -> Iterator[pd.DataFrame]:
             index, words = block.value, Words()
@@ -203,17 +208,16 @@ def leaked_items(documents: DataFrame, items: DataFrame, min_share: float = MIN_
                     if not keep or not index.ids:
                         continue
                     ids, values = [ids[k] for k in keep], [values[k] for k in keep]
-                    sizes = np.array([len(v) for v in values])
-                    pairs = index.candidates(np.concatenate(values), np.cumsum(sizes) - sizes, sizes)
-                    document = np.repeat(np.arange(len(sizes)), sizes)
-                    for key, (position, place) in index.contained(np.concatenate(values), document, pairs).items():
-                        d, item = divmod(key, n)
+                    for pair in index.candidates(np.concatenate(values), np.array([len(v) for v in values])).tolist():
+                        d, item = divmod(pair, n)
+                        length = index.lengths[item]
+                        position, place = index.matched(values[d], item)
+                        if len(position) < max(1, int(length * min_share * MIN_DENSITY / 2)):
+                            continue
                         span, matched = longest_chain(position, place)
-                        length = int(index.lengths[item])
                         if span >= min_share * length and matched >= MIN_DENSITY * span and matched >= MIN_MATCHED * min_share * length:
                             found.append((ids[d], index.ids[item], span / length, matched / length))
                 yield pd.DataFrame(found, columns=["doc_id", "item_id", "share", "matched"])
 
-        part = texts.mapInPandas(search, schema)
-        result = part if result is None else result.unionByName(part)
+        result = result.unionByName(texts.mapInPandas(search, schema))
     return result.groupBy("doc_id", "item_id").agg(F.max("share").alias("share"), F.max("matched").alias("matched"))

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from loomspark.llm.leaks import Index, Words, leaked_items, longest_chain, shingles
 
 
@@ -10,9 +12,17 @@ def test_chain_spans_single_changes():
     text[12] = "other"
     index = Index([(1, " ".join(item))])
     values = shingles(words.of(" ".join(text)))
-    places = {int(h): int(p) for h, p in zip(index.hashes, index.place)}
-    hits = [(k, places[int(v)]) for k, v in enumerate(values) if int(v) in places]
-    assert longest_chain([h[0] for h in hits], [h[1] for h in hits]) == (30, 29)
+    assert longest_chain(*index.matched(values, 0)) == (30, 29)
+
+
+def test_search_leaves_few_pairs_to_the_check():
+    rng = random.Random(2)
+    items = [(k, "in the first hour of the long night shift " + " ".join(rng.choice("abcdefgh") + str(rng.randint(0, 3000)) for _ in range(60))) for k in range(200)]
+    index, words = Index(items), Words()
+    values = [shingles(words.of("once in the first hour of the long night shift " + " ".join(f"x{rng.randint(0, 9000)}" for _ in range(100)))) for _ in range(50)]
+    values.append(shingles(words.of(" ".join(items[7][1].split()[30:55]))))
+    pairs = index.candidates(np.concatenate(values), np.array([len(v) for v in values]))
+    assert 50 * 200 + 7 in pairs.tolist() and len(pairs) <= 5  # the shared phrase makes no candidates
 
 
 def test_leaks_against_brute_force(spark):
