@@ -12,7 +12,9 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Hashable, Iterator
+from functools import lru_cache
+from itertools import compress
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -58,52 +60,45 @@ PRIOR, STOP, MARK, LINK, COVERAGE, USUAL = 1.0, 1.0, 0.5, 1.5, 4.0, 0.4
 class Automaton:
     """The suffix automaton of a list of symbols."""
 
-    def __init__(self, symbols: list[int]) -> None:
-        self.next: list[dict[int, int]] = [{}]
-        self.link, self.length, self.count = [-1], [0], [0]
+    def __init__(self, symbols: list[Hashable]) -> None:
+        following: list[dict[Hashable, int]] = [{}]
+        links, lengths = [-1], [0]
+        self.next, self.link, self.length = following, links, lengths
         last = 0
         for symbol in symbols:
-            last = self._extend(last, symbol)
-        for state in sorted(range(1, len(self.length)), key=self.length.__getitem__, reverse=True):
-            self.count[self.link[state]] += self.count[state]
-
-    def _extend(self, last: int, symbol: int) -> int:
-        following, link, length = self.next, self.link, self.length
-        new = len(length)
-        following.append({})
-        length.append(length[last] + 1)
-        link.append(0)
-        self.count.append(1)
-        state = last
-        while state >= 0 and symbol not in following[state]:
-            following[state][symbol] = new
-            state = link[state]
-        if state >= 0:
+            new = len(lengths)
+            following.append({})
+            lengths.append(lengths[last] + 1)
+            state, last = last, new
+            while state >= 0 and symbol not in following[state]:
+                following[state][symbol] = new
+                state = links[state]
+            if state < 0:
+                links.append(0)
+                continue
             to = following[state][symbol]
-            if length[to] == length[state] + 1:
-                link[new] = to
-            else:
-                clone = len(length)
-                following.append(following[to].copy())
-                length.append(length[state] + 1)
-                link.append(link[to])
-                self.count.append(0)
-                link[to] = link[new] = clone
-                while state >= 0 and following[state].get(symbol) == to:
-                    following[state][symbol] = clone
-                    state = link[state]
-        return new
-
-    def covered(self, symbols: list[int]) -> list[bool]:
-        """Which places lie in a substring that occurs at least twice: at each place the longest such one ending there."""
+            if lengths[to] == lengths[state] + 1:
+                links.append(to)
+                continue
+            clone = new + 1
+            links.append(clone)
+            following.append(following[to].copy())
+            lengths.append(lengths[state] + 1)
+            links.append(links[to])
+            links[to] = clone
+            while state >= 0 and following[state].get(symbol) == to:
+                following[state][symbol] = clone
+                state = links[state]
+
+    def covered(self, symbols: list[Hashable]) -> list[bool]:
+        """Which places of its list lie in a substring that occurs at least twice: at each place the longest such one ending
+        there. A state's substrings occur again exactly if the link of another state leads to it."""
+        links, lengths, again = self.link, self.length, set(self.link)
         out, start = [False] * len(symbols), []
         state = 0
         for place, symbol in enumerate(symbols):
             state = self.next[state][symbol]
-            at = state
-            while at > 0 and self.count[at] < 2:
-                at = self.link[at]
-            start.append(place - self.length[at] + 1 if at > 0 else place + 1)
+            start.append(place + 1 - lengths[state if state in again else links[state]])
         begin = len(symbols)
         for place in range(len(symbols) - 1, -1, -1):
             begin = min(begin, start[place])
@@ -184,10 +179,15 @@ def read_page(text: str) -> list[tuple[str, list[str], int, int]]:
     return pieces
 
 
+@lru_cache(300_000)
+def _symbol(word: str) -> str:
+    """What a word is to the automaton: every number one digit, no marks around it, no case."""
+    return word if word[0] == "\x00" else _DIGITS.sub("0", word.strip(".:!?\"'()[]*_«»“”-–—/")).casefold()
+
+
 def measure(text: str, ties: frozenset[str]) -> tuple[int, int, int, float, int]:
     """words, stuffed_words, links, coverage (share of the page's characters in repeated maximal substrings) and
-    open_words (words of pieces whose structure alone cannot tell). The automaton is left out, with a coverage of 0, only
-    where no coverage could bring the page over the limit."""
+    open_words (words of pieces whose structure alone cannot tell)."""
     pieces = read_page(text)
     total = sum(n for _, _, n, _ in pieces)
     odds = [
@@ -197,27 +197,20 @@ def measure(text: str, ties: frozenset[str]) -> tuple[int, int, int, float, int]
         for piece, words, _, links in pieces
     ]
     linked = sum(max(0, links) for *_, links in pieces)
-    most = sum(n for (_, _, n, _), o in zip(pieces, odds) if o is not None and o < COVERAGE * (1 - USUAL))
-    if most <= MOST_STUFFED * total:
-        return total, 0, linked, 0.0, 0
-    numbers: dict[str, int] = {}
-    row, chars = [], []
-    for _, words, _, _ in pieces:
-        for s in words:
-            row.append(numbers.setdefault(s if s[0] == "\x00" else _DIGITS.sub("0", s.strip(".:!?\"'()[]*_«»“”-–—/")).casefold(), len(numbers)))
-            chars.append(len(s))
-    covered = Automaton(row).covered(row) if len(row) > 1 else [False] * len(row)
+    row = [_symbol(s) for _, words, _, _ in pieces for s in words]
+    chars = [len(s) for _, words, _, _ in pieces for s in words]
+    covered = Automaton(row).covered(row)
     at = stuffed = unsure = 0
     for (_, words, n, _), o in zip(pieces, odds):
         end = at + len(words)
         if o is not None:
-            share = sum(c for c, k in zip(chars[at:end], covered[at:end]) if k) / max(1, sum(chars[at:end]))
+            share = sum(compress(chars[at:end], covered[at:end])) / max(1, sum(chars[at:end]))
             if o - COVERAGE * (share - USUAL) < 0:
                 stuffed += n
             if -COVERAGE * USUAL <= o < COVERAGE * (1 - USUAL):
                 unsure += n
         at = end
-    return total, stuffed, linked, sum(c for c, k in zip(chars, covered) if k) / max(1, sum(chars)), unsure
+    return total, stuffed, linked, sum(compress(chars, covered)) / max(1, sum(chars)), unsure
 
 
 def sentence_words(text: str) -> Iterator[set[str]]:

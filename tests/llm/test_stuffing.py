@@ -81,3 +81,19 @@ def test_coverage_and_structure_both_decide():
 def test_counts():
     words, stuffed, links, coverage, _ = measure("# Title\n\nloan seo loan seo\n\nhttps://a.example/b", frozenset())
     assert (words, stuffed, links) == (6, 4, 1) and 0 < coverage < 1
+
+
+def test_the_automaton_reads_pages_of_sentences_too():
+    ties = frozenset("the a is of it and to in was by has".split())
+    words, stuffed, _, coverage, _ = measure("The plan of the day is in a box, and it has to be read.\n" + "loan seo villa loan seo villa", ties)
+    assert (words, stuffed) == (21, 6)
+    # covered: the (twice) in the sentence, both runs of three keywords
+    assert coverage == (3 + 3 + 2 * len("loanseovilla")) / sum(len(w) for w in "The plan of the day is in a box and it has to be read. loan seo villa loan seo villa".split())
+    assert measure("All of it was read once by her.", ties)[3] == 0 < measure("It is the plan of the day.\nIt is the plan of the day.", ties)[3]
+
+
+def test_pages_with_few_keywords_give_their_measures(spark):
+    rows = [(1, SENTENCES), (2, SENTENCES + "\nloan seo loan seo loan seo")]
+    out = {r.doc_id: r for r in stuffed_pages(spark.createDataFrame(rows, "doc_id bigint, text string"), frozenset("the of it and was has two nobody".split())).collect()}
+    assert out[1].coverage == 1.0 and not out[1].stuffed
+    assert out[2].coverage == 1.0 and out[2].stuffed_words == out[1].stuffed_words + 6 and not out[2].stuffed
