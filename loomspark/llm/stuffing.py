@@ -12,9 +12,10 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter, defaultdict
 from collections.abc import Hashable, Iterator
 from functools import lru_cache
-from itertools import compress
+from itertools import chain, compress
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -25,6 +26,7 @@ from ..session import cut
 _LINK = re.compile(r"\[[^\]\n]*\]\((?:[^()\n]|\([^()\n]*\))*\)|<a\b[^>]*>.*?</a>|(?:https?://|ftp://|www\.)[^\s<>)\]\"']+|<https?:[^>]+>", re.I | re.S)
 _MARKUP = re.compile(r"</?[a-z][^>]*>", re.I)
 _TAG = re.compile(r"(?<![\w&/])[#@＃＠][^\s#@,;|]*\w|(?<!\S)(?:tags?|keywords?|labels?|topics?|categor(?:y|ies)):[^\s,;|/]+", re.I)
+_KEYED = re.compile(r":[^\s,;|/]|[＃＠]")
 _FENCE = re.compile(r"^\s*(```|~~~)")
 _HEADING = re.compile(r"^\s*#{1,6}\s+\S")
 _TABLE = re.compile(r"^\s*\|.*\|\s*$|^\s*\|?[\s:|+=-]{3,}\|?\s*$|^[^\t\n]*\t[^\t\n]*\t")
@@ -36,13 +38,14 @@ _CODE = re.compile(
 _GLOSSARY = re.compile(r"^\s*(?:[-*+•]\s+)?(?:\*\*|__)?[^:–—=\n]{1,60}?(?:\*\*|__)?\s*(?::|–|—|=|\s-)\s+\S+(?:\s+\S+){2,}")
 _LISTED = re.compile(r"\S\s+[-–—]\s+\S")
 _BULLET = re.compile(r"^\s*(?:[-*+•·>]|\d+[.)])\s+")
-_STOP = re.compile(r"(?<=[.!?…。！？])[\"'”’»)\]]*(?:\s+|(?<=[。！？]))")
-_CJK = re.compile(r"[぀-ヿ㐀-鿿가-힯]")
-_SPLIT, _ALNUM = re.compile(r"[\s,;|•·、，；]+"), re.compile(r"[^\W_]")
+_STOP = re.compile(r"[.!?…。！？][\"'”’»)\]]*(?:\s+|(?<=[。！？]))")
+_CJK = re.compile(r"[぀-ヿ㐀-鿿가-힯]+")
+_ALNUM = re.compile(r"[^\W_]")
 _DIGITS = re.compile(r"\d+")
 _LINK_SYMBOL, _TAG_SYMBOL = "\x00link", "\x00tag"
 
-_LATIN_WORD = re.compile(r"[^\W\d_]+")
+_LETTERS = re.compile(r"[^\W\d_]+")
+_ASCII_LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 else 32 for c in range(256))
 
 #: A page is stuffed when more than this share of its words lies in stuffed pieces.
 MOST_STUFFED = 0.5
@@ -58,65 +61,62 @@ PRIOR, STOP, MARK, LINK, COVERAGE, USUAL = 1.0, 1.0, 0.5, 1.5, 4.0, 0.4
 
 
 class Automaton:
-    """The suffix automaton of a list of symbols."""
+    """The suffix automaton of a list of symbols: state k is that of its first k symbols, clones come behind these."""
 
     def __init__(self, symbols: list[Hashable]) -> None:
-        following: list[dict[Hashable, int]] = [{}]
-        links, lengths = [-1], [0]
+        following: list[dict[Hashable, int]] = [{symbol: k} for k, symbol in enumerate(symbols, 1)]
+        following.append({})
+        links, lengths = [0] * len(following), list(range(len(following)))
+        links[0] = -1
         self.next, self.link, self.length = following, links, lengths
-        last = 0
-        for symbol in symbols:
-            new = len(lengths)
-            following.append({})
-            lengths.append(lengths[last] + 1)
-            state, last = last, new
-            while state >= 0 and symbol not in following[state]:
-                following[state][symbol] = new
+        clone = len(following)
+        for new, symbol in enumerate(symbols[1:], 2):
+            state = links[new - 1]
+            while state >= 0:
+                edges = following[state]
+                to = edges.get(symbol)
+                if to:
+                    break
+                edges[symbol] = new
                 state = links[state]
-            if state < 0:
-                links.append(0)
+            else:
                 continue
-            to = following[state][symbol]
-            if lengths[to] == lengths[state] + 1:
-                links.append(to)
+            deep = lengths[state] + 1
+            if lengths[to] == deep:
+                links[new] = to
                 continue
-            clone = new + 1
-            links.append(clone)
             following.append(following[to].copy())
-            lengths.append(lengths[state] + 1)
+            lengths.append(deep)
             links.append(links[to])
-            links[to] = clone
-            while state >= 0 and following[state].get(symbol) == to:
-                following[state][symbol] = clone
+            links[to] = links[new] = clone
+            while state >= 0 and (edges := following[state]).get(symbol) == to:
+                edges[symbol] = clone
                 state = links[state]
+            clone += 1
 
     def covered(self, symbols: list[Hashable]) -> list[bool]:
-        """Which places of its list lie in a substring that occurs at least twice: at each place the longest such one ending
-        there. A state's substrings occur again exactly if the link of another state leads to it."""
-        links, lengths, again = self.link, self.length, set(self.link)
-        out, start = [False] * len(symbols), []
-        state = 0
-        for place, symbol in enumerate(symbols):
-            state = self.next[state][symbol]
-            start.append(place + 1 - lengths[state if state in again else links[state]])
-        begin = len(symbols)
-        for place in range(len(symbols) - 1, -1, -1):
-            begin = min(begin, start[place])
-            out[place] = begin <= place
-        return out
+        """Which places of its list lie in a substring that occurs at least twice. A state's substrings occur again exactly if
+        the link of another state leads to it; the longest such one that ends at a place is the whole beginning up to there or
+        what its link leads to. None starts before the one that ends a place earlier, so a place is covered if it ends one."""
+        links, again = self.link, set(self.link)
+        return [links[state] > 0 or state in again for state in range(1, len(symbols) + 1)]
+
+
+def _cjk_letters(piece: str) -> int:
+    return sum(map(len, _CJK.findall(piece)))
 
 
 def _size(piece: str, words: list[str]) -> int:
     """Words; in scripts without blanks two letters count as one."""
     if piece.isascii():
         return len(words)
-    letters = len(_CJK.findall(piece))
+    letters = _cjk_letters(piece)
     return len(words) if not letters else max(len(words), letters // 2)
 
 
 def clause_odds(piece: str, words: list[str], links: int, ties: frozenset[str]) -> float:
     """Log-odds that a piece of a line is a clause and not a run of keywords, from its structure alone."""
-    if not piece.isascii() and len(_CJK.findall(piece)) >= 4:
+    if not piece.isascii() and _cjk_letters(piece) >= 4:
         whole = piece.rstrip("\"'”’」』）) ")[-1:] in "。！？…" or len(max(re.split(r"[\s,、，|/;；・•-]+", piece), key=len)) >= 10
         return 4 * PRIOR if whole else -_OTHER * _size(piece, words) - LINK * links
     n = len(words)
@@ -126,6 +126,35 @@ def clause_odds(piece: str, words: list[str], links: int, ties: frozenset[str])
     return odds + STOP if n >= 3 and piece.rstrip("\"'”’»)]* _")[-1:] in ".!?…:" else odds
 
 
+def _clauses(line: str) -> list[str]:
+    """A line cut behind each stop."""
+    pieces, begin = [], 0
+    for stop in _STOP.finditer(line):
+        at, end = stop.span()
+        pieces.append(line[begin : at + 1])
+        begin = end
+    pieces.append(line[begin:])
+    return pieces
+
+
+@lru_cache(300_000)
+def _spoken(word: str) -> bool:
+    """Whether a word has a letter or digit, or stands for a link or tag."""
+    return word[0] == "\x00" or _ALNUM.search(word) is not None
+
+
+def _words(piece: str) -> list[str]:
+    parted = piece.replace(",", " ").replace(";", " ").replace("|", " ")
+    if not parted.isascii():
+        for mark in "•·、，；":
+            parted = parted.replace(mark, " ")
+    return [w for w in parted.split() if w.isalnum() or _spoken(w)]
+
+
+def _may_link(line: str) -> bool:
+    return "://" in line or "](" in line or "<" in line or "www." in line or "www." in line.lower()
+
+
 def _may_be_code(line: str, first: str, last: str) -> bool:
     return "=" in line or " -" in line or first in "$>%}])[/#-" or last in "(:{;="
 
@@ -142,9 +171,9 @@ def read_page(text: str) -> list[tuple[str, list[str], int, int]]:
         if first in "`~" and _FENCE.match(line):
             fenced = not fenced
             continue
-        plain = "/" not in line and "." not in line or _LINK.search(line) is None
-        has_tag = ("#" in line or "@" in line or ":" in line) and _TAG.search(line) is not None
-        listed = ("-" in line or "–" in line or "—" in line) and len(_LISTED.findall(line)) >= 3
+        plain = "/" not in line and "." not in line or not _may_link(line) or _LINK.search(line) is None
+        has_tag = ("#" in line or "@" in line or ":" in line and _KEYED.search(line) is not None) and _TAG.search(line) is not None
+        listed = line.count("-") + line.count("–") + line.count("—") >= 3 and len(_LISTED.findall(line)) >= 3
         if (
             fenced
             or (
@@ -168,8 +197,8 @@ def read_page(text: str) -> list[tuple[str, list[str], int, int]]:
             bare = _TAG.sub(f" {_TAG_SYMBOL} ", bare)
         if not first.isalpha():
             bare = _BULLET.sub("", bare)
-        for piece in _STOP.split(bare):
-            words = [w for w in _SPLIT.split(piece) if w.isalnum() or w[:1] == "\x00" or _ALNUM.search(w)]
+        for piece in _clauses(bare):
+            words = _words(piece)
             if not words:
                 continue
             links = 0 if plain and not has_tag else sum(w[0] == "\x00" for w in words)
@@ -197,18 +226,21 @@ def measure(text: str, ties: frozenset[str]) -> tuple[int, int, int, float, int]
         for piece, words, _, links in pieces
     ]
     linked = sum(max(0, links) for *_, links in pieces)
-    row = [_symbol(s) for _, words, _, _ in pieces for s in words]
-    chars = [len(s) for _, words, _, _ in pieces for s in words]
+    every = list(chain.from_iterable(words for _, words, _, _ in pieces))
+    row = list(map(_symbol, every))
+    chars = list(map(len, every))
     covered = Automaton(row).covered(row)
     at = stuffed = unsure = 0
     for (_, words, n, _), o in zip(pieces, odds):
         end = at + len(words)
         if o is not None:
-            share = sum(compress(chars[at:end], covered[at:end])) / max(1, sum(chars[at:end]))
-            if o - COVERAGE * (share - USUAL) < 0:
-                stuffed += n
             if -COVERAGE * USUAL <= o < COVERAGE * (1 - USUAL):
                 unsure += n
+                share = sum(compress(chars[at:end], covered[at:end])) / max(1, sum(chars[at:end]))
+                if o - COVERAGE * (share - USUAL) < 0:
+                    stuffed += n
+            elif o < 0:
+                stuffed += n
         at = end
     return total, stuffed, linked, sum(compress(chars, covered)) / max(1, sum(chars)), unsure
 
@@ -218,9 +250,9 @@ def sentence_words(text: str) -> Iterator[set[str]]:
     for line in text.splitlines():
         if len(line) < 12 or line[0] == "|":
             continue
-        for piece in _STOP.split(line):
+        for piece in _clauses(line):
             if piece.rstrip("\"'”’»)]* _")[-1:] in (".", "!", "?", "…") and "://" not in piece and "|" not in piece:
-                words = _LATIN_WORD.findall(piece.lower())
+                words = piece.encode().translate(_ASCII_LETTERS).decode().split() if piece.isascii() else _LETTERS.findall(piece.lower())
                 if len(words) >= 5 and piece.count(",") * 4 <= len(words):
                     yield set(words)
 
@@ -232,13 +264,12 @@ def clause_ties(documents: DataFrame) -> frozenset[str]:
 
     def counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            seen: dict[tuple[str, str], int] = {}
+            seen: defaultdict[str, Counter[str]] = defaultdict(Counter)
             for code, text in zip(batch["code"], batch["text"]):
                 for words in sentence_words(text):
-                    seen[code, ""] = seen.get((code, ""), 0) + 1
-                    for word in words:
-                        seen[code, word] = seen.get((code, word), 0) + 1
-            yield pd.DataFrame([(*k, n) for k, n in seen.items()], columns=["code", "word", "n"])
+                    words.add("")
+                    seen[code].update(words)
+            yield pd.DataFrame([(code, word, n) for code, of in seen.items() for word, n in of.items()], columns=["code", "word", "n"])
 
     texts = documents.filter("text is not null").select(F.coalesce(F.when(lang.rlike("^[a-z]{2}$"), lang), F.lit("")).alias("code"), "text")
     per = cut(texts.mapInPandas(counts, "code string, word string, n long").groupBy("code", "word").agg(F.sum("n").alias("n")))

@@ -1,6 +1,8 @@
 import random
+import re
 
-from loomspark.llm.stuffing import Automaton, clause_ties, measure, stuffed_pages
+from loomspark.llm import stuffing
+from loomspark.llm.stuffing import Automaton, clause_ties, measure, read_page, stuffed_pages
 
 
 def test_automaton_against_brute_force():
@@ -97,3 +99,28 @@ def test_pages_with_few_keywords_give_their_measures(spark):
     out = {r.doc_id: r for r in stuffed_pages(spark.createDataFrame(rows, "doc_id bigint, text string"), frozenset("the of it and was has two nobody".split())).collect()}
     assert out[1].coverage == 1.0 and not out[1].stuffed
     assert out[2].coverage == 1.0 and out[2].stuffed_words == out[1].stuffed_words + 6 and not out[2].stuffed
+
+
+def test_lines_of_prose_are_read_without_a_search_for_links_and_tags(monkeypatch):
+    text = "She reads the list, and/or asks: what was left out? It is kept - as ever - in a box.\nNo. 5 of the row: it was read."
+    wanted = read_page(text)
+    for name in ("_LINK", "_TAG", "_LISTED"):
+        monkeypatch.setattr(stuffing, name, None)  # any use of it fails
+    assert read_page(text) == wanted
+
+
+def test_quick_looks_miss_nothing():
+    stop = re.compile(r"(?<=[.!?…。！？])[\"'”’»)\]]*(?:\s+|(?<=[。！？]))")
+    split, alnum = re.compile(r"[\s,;|•·、，；]+"), re.compile(r"[^\W_]")
+    rng, parts = random.Random(3), [*" .!?…。！？\"'”)]([*_-–—/:;,|·•、，；#@＃<>aé木1\x00\u3000", "loan ", "http://x.y", "WWW.a.b", "httpſ://q", "[a](b)", "<a>b</a>", "tag:x", " - "]
+    for _ in range(5_000):
+        line = "".join(rng.choices(parts, k=rng.randint(0, 60)))
+        assert stuffing._clauses(line) == stop.split(line)
+        assert stuffing._words(line) == [w for w in split.split(line) if w.isalnum() or w[:1] == "\x00" or alnum.search(w)]
+        assert stuffing._may_link(line) or not stuffing._LINK.search(line)
+        assert not stuffing._TAG.search(line) or any(c in line for c in "#@＃＠") or stuffing._KEYED.search(line)
+
+
+def test_sentence_words_in_and_out_of_ascii():
+    found = list(stuffing.sentence_words("The Cat's 2 dogs ran to_us. Der Bär läuft heute über Straßen! one two three four.\n| a b c d e f. |"))
+    assert found == [{"the", "cat", "s", "dogs", "ran", "to", "us"}, {"der", "bär", "läuft", "heute", "über", "straßen"}]
